@@ -14,6 +14,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from warpline.llm.storage import shared_table
+
+
+BLANKS = " \t\n\x0b\x0c\r"
+
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
@@ -21,14 +26,13 @@ def _lines(text: Column) -> Column:
 
 def _key(line: Column) -> tuple[Column, Column]:
     """Two 64-bit hashes of a line without the blanks at its ends."""
-    line = F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    line = F.btrim(line, F.lit(BLANKS))
     return F.when(line != "", F.xxhash64(line)).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")
 
 
-def boilerplate(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
-    """(h1, h2, first): keys of boilerplate lines, and the first place of each,
-    struct<doc_id, r1, r2, pos>."""
-    rows = _exploded(docs, doc_id, text, site)
+def boilerplate(rows: DataFrame, min_sites: int = 10, lg_k: int = 12) -> DataFrame:
+    """(h1, h2, first): keys of boilerplate lines among places(), and the first
+    place of each, struct<doc_id, r1, r2, pos>."""
     stats = rows.groupBy("h1", "h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
         F.min(F.struct("doc_id", "r1", "r2", "pos")).alias("first"),
@@ -38,7 +42,7 @@ def boilerplate(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, doc_id: st
     stats = stats.where(F.col("sites") >= min_sites - band)
     sure = stats.where(F.col("sites") > min_sites + band)
     near = stats.where(F.col("sites") <= min_sites + band)
-    exact = rows.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").distinct().groupBy("h1", "h2").count()
+    exact = rows.select("h1", "h2", "site").distinct().join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").count()
     near = near.join(exact.where(F.col("count") >= min_sites), ["h1", "h2"], "left_semi")
     return sure.unionByName(near).drop("sites")
 
@@ -48,7 +52,7 @@ def _row(doc_id: str, text: str, site: str) -> tuple[Column, Column]:
     return F.xxhash64(doc_id, text, site).alias("r1"), F.xxhash64(F.lit(1), doc_id, text, site).alias("r2")
 
 
-def _exploded(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
+def places(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
     """A row for each line that isn't blank; a null site is a site of its own."""
     rows = docs.select(
         *_row(doc_id, text, site),
@@ -71,9 +75,9 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, doc_id: str
     fare alike.  An empty table gives an empty table.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    keys = boilerplate(docs, min_sites, lg_k, doc_id, text, site)
-    rows = _exploded(docs, doc_id, text, site).drop("site", "doc_id")
-    hits = rows.join(keys, ["h1", "h2"])
+    rows = shared_table(places(docs, doc_id, text, site))
+    keys = boilerplate(rows, min_sites, lg_k)
+    hits = rows.drop("site", "doc_id").join(keys, ["h1", "h2"])
     hits = hits.where(~F.struct("r1", "r2", "pos").eqNullSafe(F.struct("first.r1", "first.r2", "first.pos")))
     gone = hits.groupBy(F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).agg(F.collect_set("pos").alias("__gone"))
     r1, r2 = _row(doc_id, text, site)
