@@ -76,7 +76,9 @@ def line_dedup(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, doc_id: str
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     rows = shared_table(places(docs, doc_id, text, site))
-    keys = boilerplate(rows, min_sites, lg_k)
+    # as a table of known size the keys are broadcast if small, and else joined
+    # by two exchanges, of which a hot line's partition can be split
+    keys = shared_table(boilerplate(rows, min_sites, lg_k))
     hits = rows.drop("site", "doc_id").join(keys, ["h1", "h2"])
     hits = hits.where(~F.struct("r1", "r2", "pos").eqNullSafe(F.struct("first.r1", "first.r2", "first.pos")))
     gone = hits.groupBy(F.col("r1").alias("__r1"), F.col("r2").alias("__r2")).agg(F.collect_set("pos").alias("__gone"))

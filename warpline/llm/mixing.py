@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from warpline.llm.storage import shared_table
 
-BINS = 16_384
+BINS = 2_048
 
 
 def word_count(text: Column) -> Column:

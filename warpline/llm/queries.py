@@ -14,8 +14,11 @@ from warpline.llm.decontaminate import contamination
 from warpline.llm.line_dedup import line_dedup
 from warpline.llm.lm_score import lm_score
 from warpline.llm.mixing import mix
+from warpline.llm.simhash import simhash_components
 from warpline.llm.substring_dedup import substring_dedup
 from warpline.llm.suffix_dedup import suffix_dedup
+from warpline.llm.toxicity import toxicity
+from warpline.llm.winnow import revision_likeness
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +59,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
@@ -72,14 +79,26 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revision_likeness(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions")
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_secret_scan": op2_secret_scan,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_source_mix": op8_source_mix,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 def _secret_sql() -> str:
