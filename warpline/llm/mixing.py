@@ -50,7 +50,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), shar
 
 def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row for each row of docs: doc_id, source, size (words), source_size,
-    target, copies and taken (copies times size).
+    target, copies, taken (copies times size) and text_hash.
 
     ``quality`` is (doc_id, weight), weight over 0; a document without one weighs
     1, several are averaged.  A document is taken whole or not: the fractional
@@ -59,7 +59,7 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
     is a source; rows of one doc_id share a key; an empty table gives an empty
     table; other columns are ignored.
     """
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("text_hash"))
     if quality is not None:
         known = quality.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.avg("weight").alias("weight"))
         base = base.join(known, "doc_id", "left")
@@ -79,4 +79,15 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
     left = F.col("target") - epochs * F.col("source_size")
     extra = F.when((F.col("before") + F.col("upto")) * 2 - F.col("size") <= left * 2, 1).otherwise(0)
     copies = F.least(epochs + extra, F.lit(int(cap)))
-    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "text_hash")
+
+
+def mixture(docs: DataFrame, quality: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents that the mix takes, with all their columns and two more:
+    copies and taken.  Rows alike in id and text share their copies evenly, rounded
+    up."""
+    rows = mix(docs, quality, doc_id=doc_id, text=text, **options).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    rows = rows.agg(F.ceil(F.avg("copies")).cast("int").alias("copies"), F.max("size").alias("__size")).where(F.col("copies") > 0)
+    own = [c for c in docs.columns if c not in ("copies", "taken")]
+    out = docs.select(*own, F.xxhash64(text).alias("__h")).join(rows, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")))
+    return out.select(*own, "copies", (F.col("copies") * F.col("__size")).alias("taken"))

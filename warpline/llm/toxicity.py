@@ -293,3 +293,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
     out = rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, evidence string")
     return out.withColumn("predicted", (F.col("score") >= settings.threshold).cast("int")).select("doc_id", "held_out", "score", "predicted", "evidence")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """docs with all their columns, without the documents that toxicity() predicts
+    to be toxic."""
+    model = fit(docs, labels, settings, doc_id, text, label)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, off = K.arrow_buffer(batch[text])
+            keep = []
+            for a, b in K.chunks(off):
+                doc, t, n = model.vectors(buf[off[a] : off[b]], off[a : b + 1] - off[a])
+                edge = np.searchsorted(doc, np.arange(b - a + 1))
+                keep += [model.score(t[x:y], n[x:y])[0] < settings.threshold for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
