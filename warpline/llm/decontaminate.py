@@ -92,7 +92,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id: str = "
     windows.  ``max_set`` bounds the windows that travel with the plan."""
     windows = benchmark_windows(benchmark, ngram)
     keys = windows.select("length", "key", _hash(F.split("key", " ")).alias("hash")).distinct().limit(max_set + 1).collect()
-    docs = docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("words", words_of(F.col(text)))
+    # the condition always holds; as it isn't deterministic, no filter above is
+    # pushed below the words, which would then be split anew for every window
+    words = F.when(F.monotonically_increasing_id() >= 0, words_of(F.col(text)))
+    docs = docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("words", words)
     docs = _scan_sets(docs, keys) if len(keys) <= max_set else _scan_join(docs, windows, ngram)
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     total = F.aggregate("spans", zero, lambda acc, x: F.struct(
