@@ -55,4 +55,7 @@ def _opcodes(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
         yield pd.Series([[list(map(str, op)) for op in difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes()] for x, y in zip(a, b, strict=True)])
 
 
-edit_opcodes = F.pandas_udf(_opcodes, "array<array<string>>")
+def edit_opcodes(a: Column | str, b: Column | str) -> Column:
+    """Edit script between two strings: arrays of (operation, a's start and stop,
+    b's start and stop) as strings."""
+    return F.pandas_udf(_opcodes, "array<array<string>>")(a, b)
