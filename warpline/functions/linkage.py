@@ -15,6 +15,8 @@ WEIGHTS = {"stitches": 50, "width": 15, "height": 15, "colours": 15}
 #: Limits of the strict predicate and of the verdicts.
 STRICT_STITCH_ERROR, STRICT_WIDTH_ERROR = 0.001, 0.01
 POSSIBLE, WEAK = 70, 50
+#: Fixed value: from this error on a similarity is 0.
+LARGEST_ERROR = 0.05
 #: Declared widths are this many times the stitch file's units;
 #: end points are ten times; one unit is 0.1 mm.
 WIDTH_SCALE, END_SCALE, UNIT_MM = 18.0, 10.0, 0.1

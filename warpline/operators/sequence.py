@@ -31,10 +31,21 @@ def until_first(df: DataFrame, stop: Column, key: list[str], order: str) -> Data
     return df.withColumn("__end", end).where(F.col("__end").isNull() | (F.col(order) <= F.col("__end"))).drop("__end")
 
 
-def ranges(df: DataFrame, key: list[str], position: str) -> DataFrame:
-    """Half-open ranges [start, stop) of consecutive positions, and their lengths."""
-    island = F.col(position) - F.row_number().over(ordered(key, [position]))
-    return df.select(*key, position, island.alias("__g")).groupBy(*key, "__g").agg(F.min(position).alias("start"), (F.max(position) + 1).alias("stop"), F.count("*").alias("n")).drop("__g")
+def ranges(df: DataFrame, key: list[str], position: str, cell: int = 1 << 20) -> DataFrame:
+    """Half-open ranges [start, stop) of consecutive positions, and their lengths.
+
+    Positions are distinct within a key.  They are dealt into cells, so that a
+    frequent key is spread; only the ranges at a cell's edges, two a cell at most,
+    meet again by key."""
+    rows = df.select(*key, F.col(position).cast("long").alias("__p")).withColumn("__c", F.floor(F.col("__p") / cell))
+    island = F.col("__p") - F.row_number().over(ordered([*key, "__c"], ["__p"]))
+    parts = rows.withColumn("__g", island).groupBy(*key, "__c", "__g").agg(F.min("__p").alias("start"), (F.max("__p") + 1).alias("stop")).drop("__g")
+    at_edge = (F.col("start") == F.col("__c") * cell) | (F.col("stop") == (F.col("__c") + 1) * cell)
+    by_key = ordered(key, ["start"])
+    edges = parts.where(at_edge).withColumn("__new", F.when(F.lag("stop").over(by_key) == F.col("start"), 0).otherwise(1))
+    edges = edges.withColumn("__g", F.sum("__new").over(by_key.rowsBetween(W.unboundedPreceding, 0)))
+    merged = edges.groupBy(*key, "__g").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("__g")
+    return parts.where(~at_edge).drop("__c").unionByName(merged).withColumn("n", F.col("stop") - F.col("start"))
 
 
 def segments(df: DataFrame, member: Column, key: list[str], order: list[str]) -> DataFrame:

@@ -7,11 +7,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def nearest_rank(df: DataFrame, key: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Percentiles by nearest rank: place round((n - 1) * p), halves to even."""
-    rows = df.where(F.col(value).isNotNull()).select(*key, value)
-    rows = rows.withColumn("__i", F.row_number().over(W.partitionBy(*key).orderBy(value)) - 1).withColumn("__n", F.count("*").over(W.partitionBy(*key)))
-    return rows.groupBy(*key).agg(*(F.min(F.when(F.col("__i") == F.bround((F.col("__n") - 1) * F.lit(p), 0), F.col(value))).alias(name) for name, p in shares.items()))
+def nearest_rank(df: DataFrame, key: list[str], value: str, shares: dict[str, float], bins: int = 4096) -> DataFrame:
+    """Percentiles by nearest rank: place round((n - 1) * p), halves to even.
+
+    No key is sorted whole: values are counted in equal bins between a key's least
+    and largest, and only the bins with a wanted place are ranked."""
+    rows = df.where(F.col(value).isNotNull()).select(*key, F.col(value).alias("__v"))
+    span = rows.groupBy(*key).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"), F.count("*").alias("__n"))
+    rows = rows.join(span, key) if key else rows.join(F.broadcast(span))
+    place = F.floor((F.col("__v") - F.col("__low")) / (F.col("__high") - F.col("__low")) * (bins - 1))
+    rows = rows.withColumn("__b", F.when(F.col("__high") > F.col("__low"), place).otherwise(F.lit(0)))
+    counts = rows.groupBy(*key, "__b").agg(F.count("*").alias("__k"), F.max("__n").alias("__n"))
+    upto = F.sum("__k").over(W.partitionBy(*key).orderBy("__b").rowsBetween(W.unboundedPreceding, 0))
+    want = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.bround((F.col("__n") - 1) * F.lit(p), 0).cast("long").alias("i")) for name, p in shares.items())))
+    goals = counts.withColumn("__before", upto - F.col("__k")).withColumn("__want", want)
+    goals = goals.where((F.col("__want.i") >= F.col("__before")) & (F.col("__want.i") < F.col("__before") + F.col("__k")))
+    goals = goals.select(*key, "__b", F.col("__want.name").alias("__name"), (F.col("__want.i") - F.col("__before")).alias("__i"))
+    found = rows.select(*key, "__b", "__v").join(goals, [*key, "__b"])
+    found = found.withColumn("__r", F.row_number().over(W.partitionBy(*key, "__name").orderBy("__v")) - 1).where(F.col("__r") == F.col("__i"))
+    return found.groupBy(*key).agg(*(F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in shares))
 
 
 def regression(df: DataFrame, key: list[str], y: str, x: str, support: int = 8) -> DataFrame:
@@ -59,9 +73,17 @@ def calibrated(df: DataFrame, ratio: Column, sure: Column, tolerance: float = 0.
     return df.join(F.broadcast(scale)).where(F.abs(ratio / F.col("scale") - 1) <= tolerance)
 
 
-def permutation(df: DataFrame, key: str, round_: int) -> Column:
-    """A place in a permutation that is the same in every run."""
-    return F.row_number().over(W.orderBy(F.md5(F.concat_ws(":", F.lit(str(round_)), F.col(key).cast("string")).cast("binary")), key))
+def permuted(df: DataFrame, key: str, round_: int, place: str = "place") -> DataFrame:
+    """Adds each row's place (from 1) in a permutation that is the same in every run.
+
+    Rows are ordered by a hash; its leading digits deal them into 4096 parts, which
+    are ranked apart and start where the parts before them end."""
+    rows = df.withColumn("__h", F.md5(F.concat_ws(":", F.lit(str(round_)), F.col(key).cast("string")).cast("binary"))).withColumn("__b", F.left("__h", F.lit(3)))
+    sizes = rows.groupBy("__b").agg(F.count("*").alias("__n"))
+    start = F.sum("__n").over(W.partitionBy(F.lit(1)).orderBy("__b").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")
+    starts = F.broadcast(sizes.select("__b", start.alias("__s")))  # 4096 rows at most
+    rank = F.row_number().over(W.partitionBy("__b").orderBy("__h", key))
+    return rows.withColumn("__r", rank).join(starts, "__b").withColumn(place, F.col("__r") + F.col("__s")).drop("__b", "__h", "__r", "__s")
 
 
 def iou_shifts(a: DataFrame, b: DataFrame, reach: int) -> DataFrame:

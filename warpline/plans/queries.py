@@ -176,7 +176,7 @@ def q_segments(spark, sf_dir):
     SELECT event_type, min(event_id) AS start, max(event_id) + 1 AS stop, count(*) AS n
     FROM (SELECT event_type, event_id, event_id - row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS g FROM events) GROUP BY event_type, g""")
 def q_ranges(spark, sf_dir):
-    return Q.ranges(_t(spark, sf_dir, "events"), ["event_type"], "event_id")
+    return Q.ranges(_t(spark, sf_dir, "events"), ["event_type"], "event_id", cell=1 << 12)
 
 
 @query("""
@@ -301,7 +301,7 @@ def q_pair_within_group(spark, sf_dir):
     WHERE least(abs(start - pos), abs(stop - pos)) <= 128 GROUP BY ALL""")
 def q_range_proximity(spark, sf_dir):
     events = _t(spark, sf_dir, "events")
-    r = Q.ranges(events.where("event_type = 'view'").withColumn("one", F.lit(1)).withColumn("part", F.floor(F.col("event_id") / 1_000_000_000)), ["part"], "event_id").select("start", "stop")
+    r = Q.ranges(events.where("event_type = 'view'"), [], "event_id").select("start", "stop")
     cell = 128
     near = r.withColumn("cell", F.explode(F.sequence(F.floor((F.col("start") - 128) / cell), F.floor((F.col("stop") + 128) / cell))))
     p = events.where("event_type = 'purchase'").select(F.col("event_id").alias("at"), F.floor(F.col("event_id") / cell).alias("cell"))
@@ -310,13 +310,13 @@ def q_range_proximity(spark, sf_dir):
 
 
 @query("""
-    WITH a AS (SELECT p_partkey, p_name AS a, lead(p_name) OVER (ORDER BY p_partkey) AS b FROM part WHERE p_partkey < 1000),
+    WITH a AS (SELECT p_partkey, p_name AS a, (SELECT any_value(q.p_name) FROM part q WHERE q.p_partkey = part.p_partkey + 1) AS b FROM part),
     p AS (SELECT *, coalesce((SELECT min(i) FROM range(1, least(length(a), length(b)) + 1) t(i) WHERE substr(a, i, 1) <> substr(b, i, 1)) - 1, least(length(a), length(b))) AS prefix FROM a WHERE b IS NOT NULL)
     SELECT p_partkey, prefix::INT AS prefix,
         least(coalesce((SELECT min(i) FROM range(1, least(length(a), length(b)) + 1) t(i) WHERE substr(reverse(a), i, 1) <> substr(reverse(b), i, 1)) - 1, least(length(a), length(b))), least(length(a), length(b)) - prefix)::INT AS suffix FROM p""")
 def q_prefix_suffix(spark, sf_dir):
-    part = _t(spark, sf_dir, "part").where("p_partkey < 1000").select("p_partkey", F.col("p_name").alias("a"))
-    rows = part.withColumn("b", F.lead("a").over(W.orderBy("p_partkey"))).where("b IS NOT NULL")
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("a"))
+    rows = part.join(part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b")), "p_partkey")
     return rows.select("p_partkey", D.common_prefix(F.col("a"), F.col("b")).alias("prefix"), D.common_suffix(F.col("a"), F.col("b")).alias("suffix"))
 
 
@@ -400,19 +400,15 @@ def q_top_k(spark, sf_dir):
 
 
 @query("""
-    WITH a AS (SELECT c_custkey, c_nationkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer),
-    p AS (SELECT r, c_nationkey AS n, row_number() OVER (PARTITION BY r ORDER BY md5(r::VARCHAR || ':' || c_custkey::VARCHAR), c_custkey) AS i FROM customer, range(5) t(r)),
-    h AS (SELECT r, count(*) FILTER (WHERE n = c_nationkey) AS hits FROM a JOIN p USING (i) GROUP BY r)
+    WITH p AS (SELECT r, c_nationkey, row_number() OVER (PARTITION BY r ORDER BY md5(r::VARCHAR || ':' || c_custkey::VARCHAR), c_custkey) AS i FROM customer, range(6) t(r)),
+    h AS (SELECT p.r, count(*) FILTER (WHERE p.c_nationkey = a.c_nationkey) AS hits FROM p JOIN p AS a ON a.i = p.i AND a.r = 0 WHERE p.r > 0 GROUP BY p.r)
     SELECT count(*) AS rounds, max(hits) AS most, sum(hits)::BIGINT AS total, count(*) FILTER (WHERE hits > 0) AS nonzero FROM h""")
 def q_negative_control(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    a = c.withColumn("i", F.row_number().over(W.orderBy("c_custkey")))
-    rounds = []
-    for r in range(5):
-        p = c.select(F.col("c_nationkey").alias("n"), A.permutation(c, "c_custkey", r).alias("i"))
-        rounds.append(a.join(p, "i").agg(F.count_if(F.col("n") == F.col("c_nationkey")).alias("hits")))
-    rows = rounds[0]
-    for x in rounds[1:]:
+    a = A.permuted(c, "c_custkey", 0).select("place", F.col("c_nationkey").alias("n"))
+    hits = [A.permuted(c, "c_custkey", r).join(a, "place").agg(F.count_if(F.col("n") == F.col("c_nationkey")).alias("hits")) for r in range(1, 6)]
+    rows = hits[0]
+    for x in hits[1:]:
         rows = rows.unionByName(x)
     return rows.agg(F.count("*").alias("rounds"), F.max("hits").alias("most"), F.sum("hits").alias("total"), F.count_if(F.col("hits") > 0).alias("nonzero"))
 
@@ -473,3 +469,82 @@ def q_nested_sessions(spark, sf_dir):
 
     rows = _events(spark, sf_dir).select("user_id", "event_id", F.when(F.col("event_type") == "signup", "begin").when(F.col("event_type") == "purchase", "end").when(F.col("event_type") == "click", "write").alias("event"), F.col("v").alias("size"))
     return session_writes(rows, "user_id", "event_id").groupBy("user_id", "session").agg(F.count("*").alias("writes"), F.sum("size").alias("bytes"))
+
+
+@query("""
+    WITH a AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events WHERE event_type <> 'error'),
+    b AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events WHERE event_type <> 'view')
+    SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.i, b.i)::INT AS i, a.event_type AS left_value, b.event_type AS right_value
+    FROM a FULL JOIN b ON a.user_id = b.user_id AND a.i = b.i WHERE a.event_type IS DISTINCT FROM b.event_type""")
+def q_zip_longest(spark, sf_dir):
+    a, b = _numbered(spark, sf_dir, "error"), _numbered(spark, sf_dir, "view")
+    return D.keyed_diff(a, b, ["user_id", "i"], "event_type")
+
+
+def _numbered(spark, sf_dir, without):
+    rows = _t(spark, sf_dir, "events").where(F.col("event_type") != without)
+    return rows.select("user_id", "event_type", F.row_number().over(Q.ordered(["user_id"], ["event_id"])).alias("i"))
+
+
+@query("""
+    WITH a AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events WHERE event_type <> 'error'),
+    b AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events WHERE event_type <> 'view')
+    SELECT user_id, min(i)::INT AS first_index FROM a JOIN b USING (user_id, i) WHERE a.event_type <> b.event_type GROUP BY 1""")
+def q_first_difference(spark, sf_dir):
+    return D.first_difference(_numbered(spark, sf_dir, "error"), _numbered(spark, sf_dir, "view"), ["user_id"], "i", "event_type")
+
+
+@query("""
+    SELECT CASE n WHEN 0 THEN 'none' WHEN 1 THEN 'one' ELSE 'many' END AS found, count(*) AS orders
+    FROM (SELECT o_orderkey, count(l_orderkey) AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_quantity >= 45 GROUP BY 1) GROUP BY 1""")
+def q_three_way_split(spark, sf_dir):
+    found = _t(spark, sf_dir, "lineitem").where("l_quantity >= 45").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"))
+    rows = _t(spark, sf_dir, "orders").join(found, "o_orderkey", "left")
+    return rows.groupBy(F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "one").otherwise("many").alias("found")).agg(F.count("*").alias("orders"))
+
+
+@query("""
+    SELECT l_returnflag, count(*) FILTER (WHERE l_linestatus = 'F') AS f, count(*) FILTER (WHERE l_linestatus = 'O') AS o, count(DISTINCT l_orderkey) AS n_orders
+    FROM lineitem GROUP BY 1""")
+def q_status_counters(spark, sf_dir):
+    counts = _t(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_orderkey").agg(F.count_if(F.col("l_linestatus") == "F").alias("f"), F.count_if(F.col("l_linestatus") == "O").alias("o"))
+    return counts.groupBy("l_returnflag").agg(F.sum("f").alias("f"), F.sum("o").alias("o"), F.count("*").alias("n_orders"))
+
+
+@query("""
+    WITH o AS (SELECT p_partkey, p_name AS a, (SELECT any_value(q.p_name) FROM part q WHERE q.p_partkey = part.p_partkey + 1) AS b FROM part),
+    d AS (SELECT p_partkey, i, i > least(length(a), length(b)) OR substr(a, i, 1) <> substr(b, i, 1) AS changed, i > least(length(a), length(b)) AS tail FROM o, unnest(range(1, greatest(length(a), length(b)) + 1)) t(i) WHERE b IS NOT NULL)
+    SELECT i::INT AS i, count(*) FILTER (WHERE changed) AS n_changed, count(*) FILTER (WHERE changed AND NOT tail) AS n_inside, min(p_partkey) FILTER (WHERE changed) AS first_key FROM d GROUP BY i""")
+def q_byte_diff(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("a"))
+    rows = part.join(part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b")), "p_partkey")
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length("a"), F.length("b")))).alias("i"))
+    tail = F.col("i") > F.least(F.length("a"), F.length("b"))
+    changed = tail | (F.substring("a", F.col("i"), F.lit(1)) != F.substring("b", F.col("i"), F.lit(1)))
+    return rows.groupBy("i").agg(F.count_if(changed).alias("n_changed"), F.count_if(changed & ~tail).alias("n_inside"), F.min(F.when(changed, F.col("p_partkey"))).alias("first_key"))
+
+
+@query("""
+    WITH s AS (SELECT event_id, 'Dir' || chr(92) || event_type || '.EMB' AS source, CASE event_id % 4 WHEN 0 THEN replace(printf('%.2f', value), '.', ',') WHEN 1 THEN ' ' || printf('%.2f', value) || '0' WHEN 2 THEN '-0.00' ELSE 'x' END AS x FROM events),
+    p AS (SELECT event_id, lower(replace(source, chr(92), '/')) AS source, try_cast(replace(trim(x), ',', '.') AS DECIMAL(18, 6)) AS x FROM s)
+    SELECT event_id, source || CASE WHEN x IS NULL THEN '' WHEN x = 0 THEN '|0' ELSE '|' || regexp_replace(regexp_replace(x::VARCHAR, '0+$', ''), '[.]$', '') END || '|1.5|out.emb' AS key FROM p""")
+def q_task_key(spark, sf_dir):
+    e = _t(spark, sf_dir, "events")
+    two = F.format_string("%.2f", F.col("value"))
+    x = F.when(F.col("event_id") % 4 == 0, F.replace(two, F.lit("."), F.lit(","))).when(F.col("event_id") % 4 == 1, F.concat(F.lit(" "), two, F.lit("0"))).when(F.col("event_id") % 4 == 2, "-0.00").otherwise("x")
+    return e.select("event_id", C.task_key(F.concat(F.lit("Dir\\"), "event_type", F.lit(".EMB")), x, F.lit("01,50"), F.lit("OUT.emb")).alias("key"))
+
+
+@query("SELECT page_id, NOT regexp_matches(p, '^(/|[A-Za-z]:)') AND NOT regexp_matches(p, '(^|/)[.][.](/|$)') AND regexp_matches(p, '(?i)[.]emb$') AS ok FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'a/' WHEN 1 THEN '../' WHEN 2 THEN '/' ELSE 'C:/' END || page_id || '.EMB' AS p FROM pages)")
+def q_safe_path(spark, sf_dir):
+    p = F.element_at(F.array(F.lit("a/"), F.lit("../"), F.lit("/"), F.lit("C:\\")), (F.col("page_id") % 4 + 1).cast("int"))
+    return _t(spark, sf_dir, "pages").select("page_id", C.safe_path(F.concat(p, F.col("page_id").cast("string"), F.lit(".EMB"))).alias("ok"))
+
+
+@query("""
+    WITH p AS (SELECT CASE WHEN label % 2 = 0 THEN 'even' ELSE 'odd' END AS img, round(embedding[1] * 20)::INT AS x, round(embedding[2] * 20)::INT AS y FROM embeddings)
+    SELECT img, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, count(DISTINCT x * 1000 + y) AS points, (min(x) + max(x)) / 2.0::DOUBLE AS centre_x FROM p GROUP BY img""")
+def q_point_box(spark, sf_dir):
+    r = lambda i: F.round(F.element_at("embedding", i) * F.lit(20).cast("float")).cast("int")
+    p = _t(spark, sf_dir, "embeddings").select(F.when(F.col("label") % 2 == 0, "even").otherwise("odd").alias("img"), r(1).alias("x"), r(2).alias("y"))
+    return p.groupBy("img").agg(F.min("x").alias("min_x"), F.max("x").alias("max_x"), F.min("y").alias("min_y"), F.max("y").alias("max_y"), F.countDistinct(F.col("x") * 1000 + F.col("y")).alias("points"), ((F.min("x") + F.max("x")) / 2).alias("centre_x"))
