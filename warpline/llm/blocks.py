@@ -96,26 +96,26 @@ def bucket_edges(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
 
 
-def narrow(keys: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each key (the bucket implies leading bits)."""
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def steps(keys: np.ndarray, drop: int) -> bytes:
+    """Sorted keys, without their low ``drop`` bits, as packed differences: a
+    bucket's keys lie close, so their leading bytes cost nothing."""
+    keys = keys >> U64(drop)
+    return crunch(np.diff(keys, prepend=U64(0)))
 
 
-def widen(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view("<u8").reshape(-1)
+def unsteps(raw: bytes) -> np.ndarray:
+    return np.cumsum(uncrunch(raw, np.uint64), dtype=np.uint64)
 
 
-def requests(block: int, tag: int, keys: np.ndarray, load: np.ndarray | None, n_buckets: int, width: int = 8) -> pa.Table:
-    """One row a bucket for sorted distinct keys."""
+def requests(block: int, tag: int, keys: np.ndarray, load: np.ndarray | None, n_buckets: int, drop: int = 0) -> pa.Table:
+    """One row a bucket for sorted distinct keys; their low ``drop`` bits stay behind."""
     edges = bucket_edges(keys, n_buckets)
     rows = [b for b in range(n_buckets) if edges[b] < edges[b + 1]]
     return pa.table({
         "block": pa.array([block] * len(rows), pa.int32()),
         "bucket": pa.array(rows, pa.int32()),
         "tag": pa.array([tag] * len(rows), pa.int32()),
-        "keys": pa.array([narrow(keys[edges[b] : edges[b + 1]], width) for b in rows], pa.binary()),
+        "keys": pa.array([steps(keys[edges[b] : edges[b + 1]], drop) for b in rows], pa.binary()),
         "load": pa.array([crunch(load[edges[b] : edges[b + 1]]) if load is not None else b"" for b in rows], pa.binary()),
     })
 
@@ -145,13 +145,12 @@ def ask_again(packed: DataFrame, answers: DataFrame, fn: Callable[[int, pa.Table
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def answer(asked: DataFrame, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray], load_dtype, width: int = 8) -> DataFrame:
+def answer(asked: DataFrame, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray], load_dtype) -> DataFrame:
     """fn(keys, load, block of each, tag) gives each request's answer, in order."""
 
     def run(key, table):
         table = table.sort_by("block")
-        raw = [x.as_buffer() for x in table["keys"]]
-        keys = [widen(x, width) if width < 8 else np.frombuffer(x, "<u8") for x in raw]
+        keys = [unsteps(x.as_py()) for x in table["keys"]]
         load = [uncrunch(x.as_py(), load_dtype) for x in table["load"]]
         sizes = [len(k) for k in keys]
         block = np.repeat(table["block"].to_numpy(), sizes)

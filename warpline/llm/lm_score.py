@@ -17,8 +17,8 @@ from warpline.llm import kernels as K
 
 OUT = "doc_id long, n_words long, score_micros long"
 TOTAL = np.zeros(1, K.U64)  # the key of the number of words
-#: Bytes of an n-gram's hash that travel; the bucket stands for leading bits.
-WIDTH = 6
+#: Low bits of an n-gram's 64-bit hash that don't travel.
+DROP = 8
 
 
 def _grams(pre: np.ndarray, order: int) -> np.ndarray:
@@ -59,9 +59,9 @@ def lm_score(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: i
         _, _, parts = open_block(table)
         keys, times = counted(parts)
         words = sum(int(first[-1]) for first, _ in parts)
-        out = B.requests(block, 1, keys, times.astype(np.uint64), n_blocks, WIDTH)
+        out = B.requests(block, 1, keys, times.astype(np.uint64), n_blocks, DROP)
         # every bucket gets the number of words under the key 0, which no n-gram has
-        total = [B.requests(block, 2, TOTAL, np.array([words], np.uint64), n_blocks, WIDTH)]
+        total = [B.requests(block, 2, TOTAL, np.array([words], np.uint64), n_blocks)]
         return pa.concat_tables([out, *total])
 
     def add_up(keys, times, block, tag):
@@ -98,5 +98,5 @@ def lm_score(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: i
             score.append(total[first[1:]] - total[first[:-1]])
         return pa.table({"doc_id": pa.array(ids, mask=null), "n_words": np.concatenate(n_words), "score_micros": np.concatenate(score)})
 
-    counted_up = B.answer(B.ask(packed, ask), add_up, np.uint64, WIDTH)
+    counted_up = B.answer(B.ask(packed, ask), add_up, np.uint64)
     return B.ask_again(packed, counted_up, finish, OUT)
