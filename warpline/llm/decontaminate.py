@@ -74,16 +74,17 @@ def _scan_join(docs: DataFrame, windows: DataFrame, ngram: int) -> DataFrame:
     keys = windows.select("length", "key").distinct().withColumn("hash", _hash(F.split("key", " ")))
     ids = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]  # equal texts have equal spans
     words = F.col("words")
+    docs = docs.withColumns({"k1": ids[0], "k2": ids[1]})  # before the windows are exploded, else hashed for each
 
     def windows_of(n: int) -> DataFrame:
         window = F.transform(_starts(words, n), lambda i: F.struct(i.alias("s"), _hash(_slice(words, i, n)).alias("hash"), F.array_join(_slice(words, i, n), " ").alias("key")))
-        return docs.select(*ids, F.lit(n).alias("length"), F.explode(window).alias("w"))
+        return docs.select("k1", "k2", F.lit(n).alias("length"), F.explode(window).alias("w"))
 
     lengths = reduce(DataFrame.unionByName, map(windows_of, range(1, ngram + 1)))
     hits = lengths.select("k1", "k2", "length", "w.*").join(keys, ["length", "hash", "key"], "left_semi")
     spans = hits.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct(F.col("s"), (F.col("s") + F.col("length")).alias("e")))).alias("spans"))
     none = F.array().cast("array<struct<s:int,e:int>>")
-    return docs.withColumns({"k1": ids[0], "k2": ids[1]}).join(spans, ["k1", "k2"], "left").withColumn("spans", F.coalesce("spans", none)).drop("k1", "k2")
+    return docs.join(spans, ["k1", "k2"], "left").withColumn("spans", F.coalesce("spans", none)).drop("k1", "k2")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id: str = "doc_id", text: str = "text", max_set: int = 50_000) -> tuple[DataFrame, DataFrame]:
@@ -115,7 +116,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id
     """
     rows, windows = scan(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), benchmark, ngram, "doc_id", "text", max_set)
     keys = F.array_distinct(F.transform("spans", lambda x: F.array_join(F.slice(F.col("words"), x["s"], x["e"] - x["s"]), " ")))
-    rows = rows.select("rid", "doc_id", F.size("words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"), F.explode_outer(keys).alias("key"))
+    rows = rows.select("rid", "doc_id", F.size("words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"), keys.alias("keys"))
+    rows = rows.select("rid", "doc_id", "n_words", "n_hit", F.explode_outer("keys").alias("key"))
     rows = rows.join(windows.select("key", F.col("item_id").cast("string").alias("item")), "key", "left")
     out = rows.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("doc_id", "n_words", "n_hit")), F.array_sort(F.collect_set("item")).alias("item_ids"))
     return out.select("doc_id", "n_words", "n_hit", "item_ids", (F.col("n_hit") > 0).alias("contaminated"))
