@@ -34,6 +34,7 @@ BOUNDED = {"access": "AKIA[A-Z0-9]{12,}", "hex": "[0-9a-f]{32,}"}
 KINDS = (*BASE, "entropy")
 CANDIDATE = "[A-Za-z0-9+/=_-]{24,}"
 WINDOW = 24
+PART = 128
 #: class -> (pattern of a whole candidate, alphabet, least entropy of some window in bits)
 CLASSES = {
     "hex": ("^[0-9A-Fa-f]+$", "0123456789abcdefABCDEF", 3.0),
@@ -55,6 +56,23 @@ def weight_limit(bits: float) -> int:
     return math.floor((math.log2(WINDOW) - bits) * WINDOW * 1e6)
 
 
+def _once(value: Column, then) -> Column:
+    """then(value), with the value computed once: what a lambda refers to is else
+    computed anew for each element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _parts(items: Column) -> Column:
+    """An array in parts of ``PART``: arrays grow by copying, so what is gathered
+    one by one is gathered within a part."""
+
+    def cut(all_):
+        last = F.floor((F.greatest(F.size(all_), F.lit(1)) - 1) / PART).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_, i * PART + 1, F.lit(PART)))
+
+    return _once(items, cut)
+
+
 def _places(text: Column, pattern: str) -> Column:
     """array<struct<s, e, m>>: matches with code point offsets, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -62,12 +80,33 @@ def _places(text: Column, pattern: str) -> Column:
     pairs = F.filter(pairs, lambda x: x["m"].isNotNull())
     kind = "array<struct<s:int,e:int,m:string>>"
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<o:int,x:{kind}>>").alias("out"))
 
     def step(acc, x):
         s, e = acc["at"] + x["g"], acc["at"] + x["g"] + x["l"]
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
 
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+    def chain(acc, part):
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("o"), part["out"].alias("x")))).alias("out"))
+
+    def shifted(part):
+        return F.transform(part["x"], lambda x: F.struct((x["s"] + part["o"]).alias("s"), (x["e"] + part["o"]).alias("e"), x["m"].alias("m")))
+
+    parts = F.transform(_parts(pairs), lambda part: F.aggregate(part, zero, step))
+    places = F.flatten(F.transform(F.aggregate(parts, none, chain, lambda acc: acc["out"]), shifted))
+    return F.when(F.regexp_like(text, F.lit(pattern)), places).otherwise(F.array().cast(kind))
+
+
+def _untouched(spans: Column, base: Column) -> Column:
+    """The spans, in order and without overlaps, that touch none of ``base``; each
+    part of them is held against those that reach into the part only."""
+
+    def part_of(part, base):
+        lo, hi = F.element_at(part, 1)["s"], F.element_at(part, -1)["e"]
+        near = F.filter(base, lambda b: (b["s"] < hi) & (lo < b["e"]))
+        return _once(near, lambda n: F.filter(part, lambda x: ~F.exists(n, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))
+
+    return _once(spans, lambda all_: F.when(F.size(all_) > 0, _once(base, lambda b: F.flatten(F.transform(_parts(all_), lambda part: part_of(part, b))))).otherwise(all_))
 
 
 def least_weight(token: Column, alphabet: str) -> Column:
@@ -105,9 +144,8 @@ def secret_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", all
     rows = rows.select("doc_id", *(c.alias(k) for k, c in found.items()), _places(F.col("text"), CANDIDATE).alias("entropy"))
     pattern, group, least = BASE["assign"]
     rows = rows.withColumn("assign", F.filter("assign", lambda x: F.length(F.regexp_extract(x["m"], pattern, group)) >= least))
-    base = F.concat(*BASE)
     harmless = lambda m: F.regexp_like(m, F.lit("|".join(f"(?:{p})" for p in allowed)))
-    rows = rows.withColumn("entropy", F.filter("entropy", lambda x: ~harmless(x["m"]) & ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))))
+    rows = rows.withColumn("entropy", F.filter("entropy", lambda x: ~harmless(x["m"]))).withColumn("entropy", _untouched(F.col("entropy"), F.concat(*BASE)))
 
     def high(x):
         classes = list(CLASSES.values())
