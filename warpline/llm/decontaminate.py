@@ -69,22 +69,28 @@ def _scan_sets(docs: DataFrame, keys: list) -> DataFrame:
     return docs.withColumn("spans", F.array_sort(F.concat(*spans)) if spans else none)
 
 
-def _scan_join(docs: DataFrame, windows: DataFrame, ngram: int) -> DataFrame:
-    """As _scan_sets, for any number of windows, by a join on hash and words."""
+def _scan_join(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """As _scan_sets, for any number of windows, by a join on length and hash.  Five
+    numbers a window travel; the words are verified where the document lies."""
     keys = windows.select("length", "key").distinct().withColumn("hash", _hash(F.split("key", " ")))
-    ids = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")]  # equal texts have equal spans
     words = F.col("words")
-    docs = docs.withColumns({"k1": ids[0], "k2": ids[1]})  # before the windows are exploded, else hashed for each
+    # equal texts have equal spans; hashed before the windows are exploded, else anew for each
+    docs = docs.withColumns({"k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit(1), "words")})
 
     def windows_of(n: int) -> DataFrame:
-        window = F.transform(_starts(words, n), lambda i: F.struct(i.alias("s"), _hash(_slice(words, i, n)).alias("hash"), F.array_join(_slice(words, i, n), " ").alias("key")))
+        window = F.transform(_starts(words, n), lambda i: F.struct(i.alias("s"), _hash(_slice(words, i, n)).alias("hash")))
         return docs.select("k1", "k2", F.lit(n).alias("length"), F.explode(window).alias("w"))
 
-    lengths = reduce(DataFrame.unionByName, map(windows_of, range(1, ngram + 1)))
-    hits = lengths.select("k1", "k2", "length", "w.*").join(keys, ["length", "hash", "key"], "left_semi")
-    spans = hits.groupBy("k1", "k2").agg(F.array_sort(F.collect_set(F.struct(F.col("s"), (F.col("s") + F.col("length")).alias("e")))).alias("spans"))
     none = F.array().cast("array<struct<s:int,e:int>>")
-    return docs.join(spans, ["k1", "k2"], "left").withColumn("spans", F.coalesce("spans", none)).drop("k1", "k2")
+    if not lengths:
+        return docs.withColumn("spans", none).drop("k1", "k2")
+    exploded = reduce(DataFrame.unionByName, map(windows_of, lengths))
+    hits = exploded.select("k1", "k2", "length", "w.*").join(keys, ["length", "hash"])
+    hits = hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "length", "key")).alias("hits"))
+    docs = docs.join(hits, ["k1", "k2"], "left")
+    sure = F.filter("hits", lambda x: F.array_join(_slice(words, x["s"], x["length"]), " ") == x["key"])
+    spans = F.array_sort(F.transform(sure, lambda x: F.struct(x["s"].alias("s"), (x["s"] + x["length"]).alias("e"))))
+    return docs.withColumn("spans", F.coalesce(spans, none)).drop("k1", "k2", "hits")
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id: str = "doc_id", text: str = "text", max_set: int = 50_000) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +103,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id: str = "
     # pushed below the words, which would then be split anew for every window
     words = F.when(F.monotonically_increasing_id() >= 0, words_of(F.col(text)))
     docs = docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("words", words)
-    docs = _scan_sets(docs, keys) if len(keys) <= max_set else _scan_join(docs, windows, ngram)
+    if len(keys) <= max_set:
+        docs = _scan_sets(docs, keys)
+    else:  # of lengths there are ngram at most
+        docs = _scan_join(docs, windows, sorted(r.length for r in windows.select("length").distinct().collect()))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     total = F.aggregate("spans", zero, lambda acc, x: F.struct(
         (acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(acc["end"], x["s"]))).alias("n"),
@@ -118,6 +127,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, ngram: int = 10, doc_id
     keys = F.array_distinct(F.transform("spans", lambda x: F.array_join(F.slice(F.col("words"), x["s"], x["e"] - x["s"]), " ")))
     rows = rows.select("rid", "doc_id", F.size("words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"), keys.alias("keys"))
     rows = rows.select("rid", "doc_id", "n_words", "n_hit", F.explode_outer("keys").alias("key"))
+    # clean documents join nothing: a key of their own, as no window has a blank first, spreads them
+    rows = rows.withColumn("key", F.coalesce("key", F.concat(F.lit(" "), F.col("rid").cast("string"))))
     rows = rows.join(windows.select("key", F.col("item_id").cast("string").alias("item")), "key", "left")
     out = rows.groupBy("rid").agg(*(F.first(c).alias(c) for c in ("doc_id", "n_words", "n_hit")), F.array_sort(F.collect_set("item")).alias("item_ids"))
     return out.select("doc_id", "n_words", "n_hit", "item_ids", (F.col("n_hit") > 0).alias("contaminated"))
