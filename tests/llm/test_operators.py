@@ -305,3 +305,13 @@ def test_nothing_to_compare_with(spark, odd):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert decontaminate.decontaminate(df, bench).count() == len(rows)
     assert {r.score for r in toxicity.toxicity(df, labels).collect()} == {0.5}
+
+
+def test_many_secrets(spark):
+    text = " ".join(f"token=é{'x' * (i % 5)} api_key: abcdefgh{i:04d} {i:032x} aB3dE5gH7jK9mN1pQ2rS4t{i:04d}" for i in range(3 * secret_scan.PART))
+    row = secret_scan.secret_scan(frame(spark, [(1, text, "s")])).first()
+    for kind, (pattern, group, least) in secret_scan.BASE.items():
+        assert [(x.s, x.e, x.m) for x in row[kind]] == [(m.start(), m.end(), m[0]) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    base = [x for kind in secret_scan.BASE for x in row[kind]]
+    assert len(row.entropy) == 3 * secret_scan.PART
+    assert not any(b.s < x.e and x.s < b.e for x in row.entropy for b in base)
