@@ -109,6 +109,16 @@ def test_near_dedup_keeps_one(odd):
     assert sorted(i for i in kept if i is not None) == sorted(want) and kept.count(None) == 2
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """An id with several texts keeps one row of each group that it names."""
+    a = "the quick brown fox jumps over the lazy dog by the river bank at noon"
+    b = "an entirely different story of ships and seas far away from any land in sight"
+    rows = [(3, b), (5, a), (5, b), (5, a), (7, a), (8, "THE" + a[3:]), (9, None), (9, None), (10, ""), (None, a), (None, a), (11, "one two"), (11, "One two")]
+    got = [tuple(r) for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(got) == 6 and {(3, b), (5, a), (9, None)} <= set(got)
+    assert got.count((None, a)) == 2 and sum(i == 11 for i, _ in got) == 1
+
+
 def test_winnowing_guarantee():
     r = np.random.default_rng(1)
     shared = r.integers(97, 100, winnow.GRAM + winnow.WINDOW - 1).astype(np.uint8).tobytes()

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warpline.llm import kernels as K
@@ -66,18 +66,25 @@ def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int = 3, seed: in
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as a long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, doc_id: str = "doc_id", text: str = "text", text_hash: bool = False) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint's 64 bits as a long; with ``text_hash``
+    also h, a hash of the text as it is."""
+    extra = ["h"] if text_hash else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, off = K.arrow_buffer(batch["text"])
             parts = [fingerprints_of(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle, seed) for a, b in K.chunks(off)]
             fp = np.concatenate(parts) if parts else np.zeros(0, K.U64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64)), *(batch[c] for c in extra)], ["doc_id", "fp", *extra])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *(_text_hash(text).alias(c) for c in extra))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *extra]))
+
+
+def _text_hash(text: str) -> Column:
+    """Null and the empty text differ."""
+    return F.xxhash64(F.col(text).cast("string"), F.col(text).isNull())
 
 
 def embedding(x: np.ndarray) -> np.ndarray:
@@ -224,17 +231,36 @@ def simhash_components(docs: DataFrame, bits: int = BITS, shingle: int = 3, seed
     table gives an empty table; other columns are ignored.
     """
     fps = shared_table(fingerprints(docs, shingle, seed, doc_id, text))
+    return _named(fps, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(fps: DataFrame, bits: int) -> DataFrame:
+    """Adds component_id to fps, a table with doc_id and fp."""
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).select("fp", F.coalesce("least", F.lit(2**63 - 1)).alias("node"))
     found = components(near_links(distinct, bits))
     named = distinct.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
     named = shared_table(named.select("fp", F.when(F.col("component") != 2**63 - 1, F.col("component")).alias("component_id")))
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(named, "fp")
 
 
 def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with all their columns, one document of each component: that with the
-    component's own doc_id.  Rows without an id stay; of repeated rows one stays."""
-    found = simhash_components(docs, bits, shingle, doc_id=doc_id, text=text)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(gone, docs[doc_id] == F.col("__id"), "left_anti")
-    return kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).unionByName(kept.where(F.col(doc_id).isNull()))
+    component's own doc_id.  Rows without an id stay.  Of several rows with that id
+    in the component one stays: of different texts that of the least hash, of equal
+    texts any.
+
+    Only ids and hashes are grouped; texts pass by a join against the rows to drop.
+    """
+    fps = shared_table(fingerprints(docs, shingle, doc_id=doc_id, text=text, text_hash=True))
+    found = _named(fps, bits).where(F.col("doc_id").isNotNull())
+    rows = found.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
+    rows = shared_table(rows.withColumn("own", F.col("doc_id") == F.col("component_id")))
+    best = rows.where("own").groupBy("doc_id").agg(F.min("h").alias("best"))
+    rows = rows.join(best, "doc_id", "left").withColumn("stays", F.col("own") & (F.col("h") == F.col("best")))
+    # a table of known size: broadcast if small
+    other = shared_table(rows.where(~F.col("stays") | (F.col("n") > 1)).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "stays"))
+    here = docs.select("*", _text_hash(text).alias("__text_hash"))
+    same = (F.col(doc_id).cast("long") == F.col("__id")) & (F.col("__text_hash") == F.col("__h"))
+    once = here.join(other, same, "left_anti")
+    repeated = here.join(other.where("stays"), same, "left_semi").dropDuplicates([doc_id])
+    return once.unionByName(repeated).select(docs.columns)
