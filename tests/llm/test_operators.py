@@ -119,6 +119,35 @@ def test_near_dedup_of_repeated_ids(spark):
     assert got.count((None, a)) == 2 and sum(i == 11 for i, _ in got) == 1
 
 
+@pytest.mark.parametrize("ids", [(None, None, 3, 9), (4, 4, 4, 9), (4, 4, 6, 9)])
+def test_fingerprints_that_share_an_id_stay_apart(spark, monkeypatch, ids):
+    """Rows without an id and unrelated texts of one id join no groups."""
+    r = np.random.default_rng(8)
+    a, b = r.integers(0, 2**62, 2).tolist()
+    by_text = {"a": a, "b": b, "a'": a ^ 1, "b'": b ^ 2}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_, text_hash=False, **__: spark.createDataFrame(
+        [(i, by_text[t], h) for (i, t), h in zip(rows, docs.select(simhash._text_hash("text")).toPandas().iloc[:, 0].tolist())], "doc_id long, fp long, h long").select("doc_id", "fp", *["h"] * text_hash))
+    rows = list(zip(ids, by_text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    least = {t: min((i for i, u in rows if u[0] == t and i is not None), default=None) for t in "ab"}
+    got = simhash.simhash_components(docs).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got if x.doc_id is not None) == sorted((i, least[t[0]]) for i, t in rows if i is not None)
+    kept = simhash.near_dedup(docs).collect()
+    assert sum(x.doc_id is None for x in kept) == ids.count(None)
+    for t in "ab":  # one row of each group, with its least id
+        assert [x.doc_id for x in kept if x.text[0] == t and x.doc_id is not None] == [least[t]]
+
+
+def test_dense_cells_with_an_id_on_several_fingerprints(spark, monkeypatch):
+    """In a cell of more than 16 rows each fingerprint is linked, whatever its id."""
+    base = 0x1555555555555555
+    swap = lambda *k: base ^ sum(3 << 2 * x for x in k)
+    rows = [(7, swap(k)) for k in range(20)] + [(8, swap(19, 25)), (8, swap(0, 26)), (8, swap(10, 27))]
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_, **__: spark.createDataFrame(rows, "doc_id long, fp long"))
+    got = simhash.simhash_components(spark.range(1)).collect()
+    assert {x.component_id for x in got} == {7}
+
+
 def test_winnowing_guarantee():
     r = np.random.default_rng(1)
     shared = r.integers(97, 100, winnow.GRAM + winnow.WINDOW - 1).astype(np.uint8).tobytes()

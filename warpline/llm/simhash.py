@@ -13,7 +13,7 @@ distinct fingerprints take part; a cell links them by a spanning forest.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -231,16 +231,19 @@ def simhash_components(docs: DataFrame, bits: int = BITS, shingle: int = 3, seed
     table gives an empty table; other columns are ignored.
     """
     fps = shared_table(fingerprints(docs, shingle, seed, doc_id, text))
-    return _named(fps, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _named(fps, lambda distinct: near_links(distinct, bits)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _named(fps: DataFrame, bits: int) -> DataFrame:
-    """Adds component_id to fps, a table with doc_id and fp."""
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).select("fp", F.coalesce("least", F.lit(2**63 - 1)).alias("node"))
-    found = components(near_links(distinct, bits))
-    named = distinct.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    named = shared_table(named.select("fp", F.when(F.col("component") != 2**63 - 1, F.col("component")).alias("component_id")))
-    return fps.join(named, "fp")
+def _named(fps: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Adds group, the least fingerprint of the component that ``links`` makes of the
+    distinct (fp, node) rows, and component_id to fps, a table with doc_id and fp.
+
+    A fingerprint is its own node: ids can be missing or stand on several."""
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fp"))
+    found = components(links(distinct))
+    named = shared_table(distinct.join(found, "node", "left").select("fp", F.coalesce("component", "fp").alias("group"), "least"))
+    ids = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    return fps.join(shared_table(named.drop("least").join(ids, "group")), "fp")
 
 
 def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,15 +255,20 @@ def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = 3, doc_id: str
     Only ids and hashes are grouped; texts pass by a join against the rows to drop.
     """
     fps = shared_table(fingerprints(docs, shingle, doc_id=doc_id, text=text, text_hash=True))
-    found = _named(fps, bits).where(F.col("doc_id").isNotNull())
-    rows = found.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("component_id").alias("component_id"))
+    return one_of_each(docs, _named(fps, lambda distinct: near_links(distinct, bits)), doc_id, text)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component of found, rows of doc_id, h, group and component_id."""
+    found = found.where(F.col("doc_id").isNotNull())
+    rows = found.groupBy("doc_id", "h").agg(F.count("*").alias("n"), F.min("group").alias("group"), F.min("component_id").alias("component_id"))
     rows = shared_table(rows.withColumn("own", F.col("doc_id") == F.col("component_id")))
-    best = rows.where("own").groupBy("doc_id").agg(F.min("h").alias("best"))
-    rows = rows.join(best, "doc_id", "left").withColumn("stays", F.col("own") & (F.col("h") == F.col("best")))
+    best = rows.where("own").groupBy("doc_id", "group").agg(F.min("h").alias("best"))
+    rows = rows.join(best, ["doc_id", "group"], "left").withColumn("stays", F.col("own") & (F.col("h") == F.col("best")))
     # a table of known size: broadcast if small
     other = shared_table(rows.where(~F.col("stays") | (F.col("n") > 1)).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "stays"))
     here = docs.select("*", _text_hash(text).alias("__text_hash"))
     same = (F.col(doc_id).cast("long") == F.col("__id")) & (F.col("__text_hash") == F.col("__h"))
     once = here.join(other, same, "left_anti")
-    repeated = here.join(other.where("stays"), same, "left_semi").dropDuplicates([doc_id])
+    repeated = here.join(other.where("stays"), same, "left_semi").dropDuplicates([doc_id, "__text_hash"])
     return once.unionByName(repeated).select(docs.columns)
