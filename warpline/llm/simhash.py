@@ -32,15 +32,14 @@ EVEN = K.U64(0x5555555555555555)
 DENSE = 2048
 
 
-def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int = 3, seed: int = SEED) -> np.ndarray:
-    """The SimHash of each document in a chunk: majority bits over the XXH64 of its
-    word shingles, repeats included."""
+def shingles_of(buf: np.ndarray, off: np.ndarray, shingle: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of each word shingle in a chunk, repeats included; a document
+    of fewer words has one shingle of them all."""
     buf = K.LOWER[buf]
     starts, ends, first = K.word_spans(buf, off)
     n = np.diff(first)
-    out = np.zeros(len(n), K.U64)
     if not len(starts):
-        return out
+        return np.zeros(0, K.U64), np.zeros(0, np.int64)
     # one space between words: the text of a shingle is then one slice
     size = ends - starts + 1
     to = np.cumsum(size) - size
@@ -55,9 +54,17 @@ def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int = 3, seed: in
     last = np.minimum(begins + shingle, first[1:][doc[begins]]) - 1
     digest = xxhash.xxh64_intdigest
     a, b = to[begins].tolist(), (to[last] + size[last] - 1).tolist()
-    h = np.fromiter((digest(raw[x:y], seed) for x, y in zip(a, b, strict=True)), K.U64, len(a))
-    owner = doc[begins]
-    counts = np.bincount(owner, minlength=len(n))
+    return np.fromiter((digest(raw[x:y], seed) for x, y in zip(a, b, strict=True)), K.U64, len(a)), doc[begins]
+
+
+def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int = 3, seed: int = SEED) -> np.ndarray:
+    """The SimHash of each document in a chunk: majority bits over the XXH64 of its
+    word shingles, repeats included."""
+    out = np.zeros(len(off) - 1, K.U64)
+    h, owner = shingles_of(buf, off, shingle, seed)
+    if not len(h):
+        return out
+    counts = np.bincount(owner, minlength=len(out))
     have = np.flatnonzero(counts)
     edge = np.concatenate(([0], np.cumsum(counts[have])))[:-1]
     for bit in range(64):
