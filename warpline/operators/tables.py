@@ -85,15 +85,13 @@ def contains_join(docs: DataFrame, patterns: DataFrame, text: str, pattern: str,
     A word that has a blank on either side in the pattern stands so in the text as
     well: the longest of them meets the texts' distinct words in an equi-join, and
     the pairs are verified.  A pattern without such a word is tried on every text;
-    there may be ``max_short`` of these."""
+    up to ``max_short`` of these are broadcast, of more Spark chooses the join."""
     inner = F.filter(F.split(pattern, " "), lambda w, i: (i > 0) & (i < F.size(F.split(pattern, " ")) - 1) & (w != ""))
     p = patterns.where(F.length(pattern) > 0).withColumn("__w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
     short = p.where(F.col("__w").isNull()).drop("__w")
     n_short = short.limit(max_short + 1).count()
-    if n_short > max_short:
-        raise ValueError(f"more than {max_short} patterns without an inner word")
     words = docs.withColumn("__w", F.explode(F.array_distinct(F.split(text, " "))))
     rows = words.join(p.where(F.col("__w").isNotNull()), "__w").drop("__w")
     if n_short:
-        rows = rows.unionByName(docs.join(F.broadcast(short), F.contains(F.col(text), F.col(pattern))))
+        rows = rows.unionByName(docs.join(F.broadcast(short) if n_short <= max_short else short, F.contains(F.col(text), F.col(pattern))))
     return rows.withColumn("position", F.instr(F.col(text), F.col(pattern)) - 1).where(F.col("position") >= 0)
