@@ -8,6 +8,7 @@ works on the resulting rows.
 from __future__ import annotations
 
 import bz2
+import codecs
 import gzip
 import lzma
 import struct
@@ -15,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAGIC = b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
@@ -49,6 +50,15 @@ PROPERTY_MAP = {
 }
 SIGNED = {"design_left", "design_right", "design_up", "design_down", "end_x", "end_y"}
 SEQUENCE_PROPERTY = 18
+#: Codecs tried on text values in turn, and the code page of names that have an unknown one.
+TEXT_CODECS = ("utf-8", "cp1251", "cp1252")
+FALLBACK_PAGE = 1251
+#: From the format: reserved property identifiers, and code pages.
+DICTIONARY, CODE_PAGE = 0, 1
+DEFAULT_PAGE, UTF16_PAGE = 1252, 1200
+#: Types with a payload of one number (16 and 32 bits are read as unsigned) and those with a count and payload of so many bytes each.
+SCALARS = {0x02: "H", 0x12: "H", 0x03: "I", 0x13: "I", 0x16: "I", 0x17: "I", 0x04: "f", 0x05: "d", 0x0B: "?"}
+COUNTED = {0x1E: (1, lambda raw: decode_text(raw)), 0x1F: (2, lambda raw: str(raw, "utf-16-le", "replace").rstrip("\0")), 0x41: (1, bytes)}
 
 
 def compound_streams(data: bytes) -> dict[str, bytes]:
@@ -112,87 +122,118 @@ def compound_streams(data: bytes) -> dict[str, bytes]:
 
 
 def decode_text(raw: bytes) -> str:
-    for encoding in ("utf-8", "cp1251", "cp1252"):
+    """By the first of TEXT_CODECS that can read the bytes, closing NULs cut; else spaced hex digits."""
+
+    def read(codec: str) -> str | None:
         try:
-            return raw.rstrip(b"\0").decode(encoding)
+            return str(raw, codec)
         except UnicodeDecodeError:
-            continue
-    return raw.hex()
+            return None
+
+    found = [t for t in map(read, TEXT_CODECS) if t is not None]
+    return found[0].rstrip("\0") if found else raw.hex(" ")
+
+
+class Section:
+    """One section of a property set: the places of its values by property identifier,
+    each a typed value (type, two bytes of padding, payload)."""
+
+    def __init__(self, data: bytes, base: int):
+        self.data, self.base = data, base
+        _, count = self.read("II", 0)
+        self.places = dict(struct.iter_unpack("<II", self.span(8, 8 * count)))
+
+    def span(self, at: int, size: int) -> bytes:
+        out = self.data[self.base + at : self.base + at + size]
+        if len(out) < size:
+            raise ValueError("a property set ends early")
+        return out
+
+    def read(self, layout: str, at: int) -> tuple:
+        return struct.unpack(f"<{layout}", self.span(at, struct.calcsize(f"<{layout}")))
+
+    def typed(self, key: int) -> tuple[int, object]:
+        """(type, value) of a property; of other than the known types the value is null."""
+        at = self.places[key]
+        (kind,) = self.read("H", at)
+        if kind in SCALARS:
+            return kind, self.read(SCALARS[kind], at + 4)[0]
+        if kind in COUNTED:
+            width, make = COUNTED[kind]
+            (n,) = self.read("I", at + 4)
+            return kind, make(self.span(at + 8, n * width))
+        return kind, None
+
+    def text_codec(self) -> tuple[str, int, int]:
+        """(codec, bytes of a character, alignment) of dictionary names, from the code page property."""
+        kind, page = self.typed(CODE_PAGE) if CODE_PAGE in self.places else (0, None)
+        if kind not in (0x02, 0x12):
+            page = DEFAULT_PAGE
+        if page == UTF16_PAGE:
+            return "utf-16-le", 2, 4
+        try:
+            return codecs.lookup(f"cp{page}").name, 1, 1
+        except LookupError:
+            return f"cp{FALLBACK_PAGE}", 1, 1
+
+    def names(self) -> dict[int, str]:
+        """The dictionary property: names by property identifier."""
+        if DICTIONARY not in self.places:
+            return {}
+        codec, width, align = self.text_codec()
+        at, out = self.places[DICTIONARY], {}
+        (left,) = self.read("I", at)
+        at += 4
+        while left:
+            key, n = self.read("II", at)
+            out[key] = str(self.span(at + 8, n * width), codec, "replace").rstrip("\0")
+            at += 8 + -(-n * width // align) * align
+            left -= 1
+        return out
+
+
+def section_of(data: bytes) -> Section:
+    """The first section of a property set stream (byte order mark, header of 28 bytes, then format id and offset of each section)."""
+    if len(data) < 48 or data[:2] != b"\xfe\xff" or not struct.unpack_from("<I", data, 24)[0]:
+        raise ValueError("not a property set")
+    return Section(data, struct.unpack_from("<I", data, 44)[0])
+
+
+def properties(data: bytes) -> list[tuple[int, str | None, float | None, str | None, int | None]]:
+    """(identifier, name, number, text, size) of each property but the dictionary; size: of a text or blob."""
+    section = section_of(data)
+    names, out = section.names(), []
+    for key in sorted(section.places):
+        if key != DICTIONARY:
+            _, value = section.typed(key)
+            sized = isinstance(value, (bytes, str))
+            out.append((key, names.get(key), None if sized or value is None else float(value), value if isinstance(value, str) else None, len(value) if sized else None))
+    return out
 
 
 def property_set(data: bytes) -> dict[str, object]:
-    """Mapped properties of the first section that has a dictionary, under
-    PROPERTY_MAP's columns, and sequence_list_size."""
-    def u16(at):
-        return struct.unpack_from("<H", data, at)[0]
-
-    def u32(at):
-        return struct.unpack_from("<I", data, at)[0]
-
-    try:
-        if data[:2] != b"\xfe\xff" or u32(24) < 1:
-            raise ValueError("not a property set")
-        base = u32(44)
-        at = {u32(base + 8 + 8 * i): base + u32(base + 12 + 8 * i) for i in range(u32(base + 4))}
-        page = u16(at[1] + 4) if 1 in at and u16(at[1]) in (2, 18) else 1252
-        names: dict[int, str] = {}
-        if 0 in at:
-            place = at[0] + 4
-            for _ in range(u32(at[0])):
-                key, n = u32(place), u32(place + 4)
-                width = n * 2 if page == 1200 else n
-                if place + 8 + width > len(data):
-                    raise ValueError("a property name leaves the stream")
-                raw = data[place + 8 : place + 8 + width]
-                try:
-                    names[key] = raw.decode("utf-16le" if page == 1200 else f"cp{page}", "replace").rstrip("\0")
-                except LookupError:
-                    names[key] = raw.decode("cp1251", "replace").rstrip("\0")
-                place += 8 + ((width + 3) // 4 * 4 if page == 1200 else width)
-    except struct.error as e:
-        raise ValueError("a property set ends early") from e
+    """Mapped properties of the first section, under PROPERTY_MAP's columns, and sequence_list_size."""
     out: dict[str, object] = {}
-    for key, name in names.items():
-        column = PROPERTY_MAP.get(name.strip().lower())
-        if column and key in at:
-            value = _typed(data, at[key])
-            out[column] = value - 2**32 if column in SIGNED and isinstance(value, int) and value >= 2**31 else value
-    if SEQUENCE_PROPERTY in at:
-        value = _typed(data, at[SEQUENCE_PROPERTY])
-        out["sequence_list_size"] = len(value) if isinstance(value, (bytes, str)) else None
+    for key, name, number, text, size in properties(data):
+        column = PROPERTY_MAP.get((name or "").strip().lower())
+        if column:
+            out[column] = number - 2**32 if column in SIGNED and number is not None and number >= 2**31 else number if text is None else text
+        if key == SEQUENCE_PROPERTY:
+            out["sequence_list_size"] = size
     return out
 
 
-def _typed(data: bytes, at: int):
-    (kind,) = struct.unpack_from("<H", data, at)
-    if kind in (2, 18):
-        return struct.unpack_from("<H", data, at + 4)[0]
-    if kind in (3, 19, 22, 23):
-        return struct.unpack_from("<I", data, at + 4)[0]
-    if kind in (4, 5):
-        return struct.unpack_from("<f" if kind == 4 else "<d", data, at + 4)[0]
-    if kind == 11:
-        return int(struct.unpack_from("<h", data, at + 4)[0] != 0)
-    if kind in (30, 65):
-        (n,) = struct.unpack_from("<I", data, at + 4)
-        raw = data[at + 8 : at + 8 + n]
-        return decode_text(raw) if kind == 30 else raw
-    if kind == 31:
-        (n,) = struct.unpack_from("<I", data, at + 4)
-        return data[at + 8 : at + 8 + 2 * n].decode("utf-16le", "replace").rstrip("\0")
-    return None
-
-
-def inflate(data: bytes) -> tuple[bytes | None, int | None, int | None]:
-    """(bytes, declared size, actual size) of a u32 size and a zlib body."""
-    if len(data) < 4:
-        return None, None, None
-    (declared,) = struct.unpack_from("<I", data)
+def inflate(data: bytes, exact: bool = False) -> tuple[bytes | None, int | None, int | None]:
+    """(bytes, declared size, actual size) of a u32 size and a zlib body; ``exact``
+    makes another size, or a body that can't be read, an error."""
+    declared = struct.unpack_from("<I", data)[0] if len(data) >= 4 else None
     try:
-        raw = zlib.decompress(data[4:])
+        raw = zlib.decompress(data[4:]) if declared is not None else None
     except zlib.error:
-        return None, declared, None
-    return raw, declared, len(raw)
+        raw = None
+    if exact and (raw is None or len(raw) != declared):
+        raise ValueError("not a body of the declared size")
+    return raw, declared, None if raw is None else len(raw)
 
 
 CODECS = {
@@ -234,28 +275,59 @@ def streams(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.where(F.col("error").isNotNull()).select("path", "error_type", "error")
 
 
-NUMBERS = [c for c in PROPERTY_MAP.values() if c != "machine"]
-METADATA = ", ".join([*(f"{c} double" for c in NUMBERS), "machine string", "sequence_list_size long"])
+def variants(streams_: DataFrame) -> DataFrame:
+    """(path, stream, variant, raw): each stream as it is, and what every codec that reads it gives."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(path, stream, codec, out) for path, stream, raw in zip(batch["path"], batch["stream"], batch["raw"], strict=True) for codec, out in decodings(bytes(raw)).items()]
+            yield pd.DataFrame(rows, columns=["path", "stream", "variant", "raw"])
 
+    rows = streams_.select("path", "stream", "raw")
+    return rows.withColumn("variant", F.lit("raw")).unionByName(rows.mapInPandas(run, "path string, stream string, variant string, raw binary"))
 
-def metadata(streams_: DataFrame, stream: str) -> DataFrame:
-    """path and the mapped properties of one stream by name (its case and a leading
-    0x05 don't matter); a missing stream gives no row, a bad one all nulls and its error."""
+
+def named(stream: str) -> Column:
+    """Is this the stream?  Its case and a leading 0x05 don't matter."""
+    return F.lower(F.ltrim(F.col("stream"), F.lit("\x05"))) == stream.lower()
+
+
+def property_rows(streams_: DataFrame, stream: str) -> DataFrame:
+    """(path, id, property, number, text, size, error): a row for each property of one
+    stream by name; a bad stream gives one row with its error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, raw in zip(batch["path"], batch["raw"], strict=True):
-                row = {"path": path, "error": None}
                 try:
-                    row |= property_set(bytes(raw))
+                    rows += [(path, *p, None) for p in properties(bytes(raw))]
                 except ValueError as e:
-                    row["error"] = str(e)
-                rows.append({k: row.get(k) for k in ("path", "error", *NUMBERS, "machine", "sequence_list_size")})
-            out = pd.DataFrame(rows, columns=["path", "error", *NUMBERS, "machine", "sequence_list_size"])
-            for c in NUMBERS:
-                out[c] = pd.to_numeric(out[c], errors="coerce").astype("float64")
-            yield out
-
-    same = F.lower(F.ltrim(F.col("stream"), F.lit("\x05"))) == stream.lower()
-    return streams_.where(same).select("path", "raw").mapInPandas(run, f"path string, error string, {METADATA}")
+                    rows.append((path, None, None, None, None, None, str(e)))
+            out = pd.DataFrame(rows, columns=["path", "id", "property", "number", "text", "size", "error"])
+            yield out.astype({"id": "Int64", "number": "float64", "size": "Int64"})
+
+    return streams_.where(named(stream)).select("path", "raw").mapInPandas(run, "path string, id long, property string, number double, text string, size long, error string")
+
+
+NUMBERS = [c for c in PROPERTY_MAP.values() if c != "machine"]
+
+
+def wide(rows: DataFrame) -> DataFrame:
+    """One row a path of property_rows(): error, PROPERTY_MAP's columns and sequence_list_size."""
+    columns = F.create_map(*(F.lit(x) for pair in PROPERTY_MAP.items() for x in pair))
+    rows = rows.withColumn("column", F.try_element_at(columns, F.lower(F.trim("property"))))
+    number = lambda c: F.max(F.when(F.col("column") == c, F.col("number")))
+    signed = lambda c: F.when(number(c) >= 2**31, number(c) - 2**32).otherwise(number(c))
+    return rows.groupBy("path").agg(
+        F.max("error").alias("error"),
+        *((signed(c) if c in SIGNED else number(c)).alias(c) for c in NUMBERS),
+        F.max(F.when(F.col("column") == "machine", F.coalesce("text", F.col("number").cast("string")))).alias("machine"),
+        F.max(F.when(F.col("id") == SEQUENCE_PROPERTY, F.col("size"))).alias("sequence_list_size"),
+    )
+
+
+def metadata(streams_: DataFrame, stream: str) -> DataFrame:
+    """path, error and the mapped properties of one stream by name; a missing stream
+    gives no row, a bad one all nulls and its error."""
+    return wide(property_rows(streams_, stream))

@@ -7,6 +7,7 @@ number first; tables of any size are written by Spark's own writers.
 from __future__ import annotations
 
 import csv
+import hashlib
 import json
 import os
 import re
@@ -100,6 +101,49 @@ def dump_streams(streams: DataFrame, folder: str) -> None:
     streams.select("path", "stream", "raw").foreachPartition(write)
 
 
+def export_streams(streams: DataFrame, folder: str, names: dict[str, str]) -> None:
+    """One folder a file with some of its streams under file names of their own (as a
+    preview or an icon), and contents.json that lists all of them with their sizes."""
+    rows = streams.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("stream", F.length("raw").alias("size")))).alias("all"), F.collect_list(F.when(F.col("stream").isin(*names), F.struct("stream", "raw"))).alias("some"))
+
+    def write(part) -> None:
+        for r in part:
+            to = os.path.join(folder, own_folder(r.path))
+            os.makedirs(to, exist_ok=True)
+            replace_file(os.path.join(to, "contents.json"), json.dumps([x.asDict() for x in r.all], ensure_ascii=False, indent=2) + "\n")
+            for x in r.some:
+                with open(os.path.join(to, names[x.stream]), "wb") as f:
+                    f.write(x.raw)
+
+    rows.foreachPartition(write)
+
+
+def own_folder(path: str) -> str:
+    """A folder name for a path; files of one stem in two folders stay apart."""
+    path = path.replace("\\", "/")
+    stem = os.path.splitext(os.path.basename(path))[0].strip()
+    return f"{safe_name(stem)}-{hashlib.sha256(path.encode()).hexdigest()[:8]}"
+
+
+def metadata_documents(files: DataFrame, metadata: DataFrame) -> DataFrame:
+    """(path, document): each file's metadata as a JSON text, or why there is none."""
+    have = metadata.select(F.col("path").alias("__p"), F.struct(*(c for c in metadata.columns if c != "path")).alias("__m"))
+    none = F.to_json(F.struct(F.col("path").alias("filename"), F.lit(False).alias("available"), F.lit("the stream is missing").alias("reason")))
+    rows = files.select("path").join(have, F.col("path") == F.col("__p"), "left")
+    return rows.select("path", F.when(F.col("__p").isNull(), none).otherwise(F.to_json(F.struct(F.col("path").alias("filename"), "__m.*"))).alias("document"))
+
+
+def append_blobs(path: str, raw: str = "raw"):
+    """A foreachBatch function: the batch's bytes as Parquet beside its other columns as
+    JSON lines; a batch that is run again replaces its own part."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/bytes/batch={batch_id}")
+        batch.withColumn("size", F.length(raw)).drop(raw).write.mode("overwrite").json(f"{path}/log/batch={batch_id}")
+
+    return write
+
+
 def append_log(path: str):
     """A foreachBatch function that appends each micro-batch as JSON lines, once:
     a batch that is run again replaces its own part."""
