@@ -43,3 +43,24 @@ def safe_path(path: Column) -> Column:
 def task_key(source: Column, x: Column, y: Column, output: Column) -> Column:
     folded = lambda c: F.lower(F.replace(c, F.lit("\\"), F.lit("/")))
     return F.concat_ws("|", folded(source), canonical_coordinate(x), canonical_coordinate(y), folded(output))
+
+
+def output_path(folder: str, relative: Column, stem: Column, x: Column, y: Column) -> Column:
+    """The variant's path below the output folder, beside where its source stood."""
+    parent = F.regexp_replace(F.replace(relative, F.lit("\\"), F.lit("/")), r"[^/]*$", "")
+    return F.concat(F.lit(folder.rstrip("/") + "/"), parent, variant_name(stem, x, y))
+
+
+def inside(path: Column, root: str) -> Column:
+    """Does a path, taken below the root unless it is absolute, stay below it?  Steps up
+    are counted; links aren't followed."""
+    p = F.replace(path, F.lit("\\"), F.lit("/"))
+    base = root.replace("\\", "/").rstrip("/")
+    absolute = F.regexp_like(p, F.lit(r"^(/|[A-Za-z]:)"))
+    below = F.startswith(F.lower(p), F.lit(base.lower() + "/"))
+    rest = F.when(absolute, F.substring(p, len(base) + 2, F.length(p))).otherwise(p)
+    steps = F.filter(F.split(rest, "/"), lambda s: ~s.isin("", "."))
+    zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("least"))
+    move = lambda a, s: a["depth"] + F.when(s == "..", -1).otherwise(1)
+    least = F.aggregate(steps, zero, lambda a, s: F.struct(move(a, s).alias("depth"), F.least(a["least"], move(a, s)).alias("least")), lambda a: a["least"])
+    return (~absolute | below) & (least >= 0)

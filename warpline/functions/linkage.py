@@ -20,6 +20,8 @@ LARGEST_ERROR = 0.05
 #: Declared widths are this many times the stitch file's units;
 #: end points are ten times; one unit is 0.1 mm.
 WIDTH_SCALE, END_SCALE, UNIT_MM = 18.0, 10.0, 0.1
+#: Fixed value: from this share of the size on, end points aren't similar.
+LARGEST_END_ERROR = 0.02
 
 
 def normalize_ascii(name: Column) -> Column:
@@ -106,3 +108,13 @@ def declared_extent(whole: Column, low: Column, high: Column) -> Column:
 
 def end_distance(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     return F.hypot(ax - bx, ay - by)
+
+
+def bounds_extent(low: Column, high: Column) -> Column:
+    """The extent between two sides given in one coordinate."""
+    return F.abs(high - low)
+
+
+def end_error(distance: Column, width: Column, height: Column) -> Column:
+    """A distance of end points over the larger extent, 1 at least."""
+    return distance / F.greatest(width, height, F.lit(1))

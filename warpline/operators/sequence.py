@@ -53,6 +53,30 @@ def segments(df: DataFrame, member: Column, key: list[str], order: list[str]) ->
     return df.withColumn("segment", running(F.when(member, 0).otherwise(1), key, order)).where(member)
 
 
+def polylines(df: DataFrame, member: Column, key: list[str], order: str, x: str, y: str) -> DataFrame:
+    """(key, segment, first, points): each run of member rows as a line that begins at the
+    point before its first one (the origin before any).  A line is one row."""
+    at = ordered(key, [order])
+    before = F.struct(F.lit(0).alias("i"), *(F.coalesce(F.lag(c).over(at), F.lit(0)).alias(n) for c, n in ((x, "x"), (y, "y"))))
+    rows = segments(df.withColumn("__before", before), member, key, [order])
+    lines = rows.groupBy(*key, "segment").agg(F.min_by("__before", order).alias("b"), F.min(order).alias("first"), F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("p"))
+    bare = lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))
+    return lines.select(*key, "segment", "first", F.concat(F.array(bare(F.col("b"))), F.transform("p", bare)).alias("points"))
+
+
+def running_overall(df: DataFrame, value: str, order: str, cell: int = 1 << 16) -> DataFrame:
+    """Adds ``upto`` and ``count``: the running sum and number of rows by a whole-number
+    order over the whole table.  Rows are summed in cells of the order, the cells' sums are
+    summed up, and each cell starts where the ones before it end, so no task takes all rows."""
+    rows = df.withColumn("__c", F.floor(F.col(order) / cell))
+    sums = rows.groupBy("__c").agg(F.sum(value).alias("__v"), F.count("*").alias("__n"))
+    before = W.partitionBy(F.lit(1)).orderBy("__c").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select("__c", F.coalesce(F.sum("__v").over(before), F.lit(0)).alias("__v"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__n"))
+    inner = ordered(["__c"], [order]).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({"upto": F.sum(value).over(inner), "count": F.count("*").over(inner)}).join(starts, "__c")
+    return rows.withColumns({"upto": F.col("upto") + F.col("__v"), "count": F.col("count") + F.col("__n")}).drop("__c", "__v", "__n")
+
+
 def bounds(df: DataFrame, key: list[str], x: str, y: str) -> DataFrame:
     """Least and largest x and y together with the origin, and the extents."""
     low = lambda c: F.least(F.lit(0), F.min(c))

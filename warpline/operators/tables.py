@@ -35,6 +35,11 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
+def subset(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(subset): is every row of a in b?"""
+    return a.join(b.distinct(), a.columns, "left_anti").agg((F.count("*") == 0).alias("subset"))
+
+
 def resume(tasks: DataFrame, results: DataFrame, key: list[str], mode: str) -> DataFrame:
     """Tasks to run: all ("fresh"), those without a success ("resume"), or those
     whose latest state is an error ("retry")."""
@@ -83,15 +88,17 @@ def contains_join(docs: DataFrame, patterns: DataFrame, text: str, pattern: str,
     first position from 0.
 
     A word that has a blank on either side in the pattern stands so in the text as
-    well: the longest of them meets the texts' distinct words in an equi-join, and
-    the pairs are verified.  A pattern without such a word is tried on every text;
+    well: the longest of them meets the texts' distinct words in an equi-join of
+    words and text hashes, and the texts of its hits are fetched and verified.  A pattern without such a word is tried on every text;
     up to ``max_short`` of these are broadcast, of more Spark chooses the join."""
     inner = F.filter(F.split(pattern, " "), lambda w, i: (i > 0) & (i < F.size(F.split(pattern, " ")) - 1) & (w != ""))
     p = patterns.where(F.length(pattern) > 0).withColumn("__w", F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"])
     short = p.where(F.col("__w").isNull()).drop("__w")
     n_short = short.limit(max_short + 1).count()
-    words = docs.withColumn("__w", F.explode(F.array_distinct(F.split(text, " "))))
-    rows = words.join(p.where(F.col("__w").isNotNull()), "__w").drop("__w")
+    keyed = docs.withColumn("__k", F.xxhash64(text))
+    words = keyed.select("__k", F.explode(F.array_distinct(F.split(text, " "))).alias("__w"))
+    hits = words.join(p.where(F.col("__w").isNotNull()), "__w").drop("__w").distinct()
+    rows = keyed.join(hits, "__k").drop("__k")
     if n_short:
         rows = rows.unionByName(docs.join(F.broadcast(short) if n_short <= max_short else short, F.contains(F.col(text), F.col(pattern))))
     return rows.withColumn("position", F.instr(F.col(text), F.col(pattern)) - 1).where(F.col("position") >= 0)

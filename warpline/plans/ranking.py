@@ -57,6 +57,46 @@ def rank(designs: DataFrame, stitches: DataFrame) -> DataFrame:
     return rows.withColumn("verdict", L.verdict(F.col("evidence"), F.col("strict"))).orderBy(F.desc("evidence"), "name", "design_path")
 
 
+def pair_metrics(designs: DataFrame, stitches: DataFrame) -> DataFrame:
+    """The compact form of rank() for audits: one row a pair of design and stitch files of
+    a name, all of them; the header's numbers only, and null or 0 widths give no ratio."""
+    d = keyed(designs).withColumnRenamed("path", "design_path")
+    rows = d.join(distinct_stitches(stitches).withColumnRenamed("path", "stitch_path"), "name")
+    raw = L.declared_extent(F.col("design_width"), F.col("design_left"), F.col("design_right"))
+    changes, colours = L.colour_flags(F.col("color_change_count").cast("long"), F.col("color_count").cast("long"), F.col("co"))
+    return rows.select(
+        "name", "design_path", "stitch_path", "stitch_count", "st", "stitch_commands",
+        L.relative_error(F.col("stitch_count"), F.col("st")).alias("stitch_error"),
+        F.coalesce(changes & colours, F.lit(False)).alias("colours_exact"),
+        F.try_divide(raw, F.col("width")).alias("width_ratio"),
+    )
+
+
+def best(ranking: DataFrame, least: float = 99.0, most: int = 30) -> DataFrame:
+    """The first ``most`` pairs of a quality of ``least`` or more, in the ranking's order."""
+    return ranking.where(F.col("quality") >= least).orderBy(F.desc("evidence"), "name", "design_path").limit(most)
+
+
+def any_format(designs: DataFrame, references: DataFrame, normalize=L.normalize_name) -> DataFrame:
+    """(name, path, formats, references): designs (path) with the reference files
+    (path, format) of their name in any format; without a match under the exact name, those under the
+    name without leading digits."""
+    r = keyed(references.select("path", "format"), normalize).withColumn("relaxed", L.relaxed_name(F.col("name")))
+    lists = lambda by: r.where(F.col(by) != "").groupBy(F.col(by).alias("k")).agg(F.array_sort(F.collect_set("format")).alias("formats"), F.array_sort(F.collect_list(F.struct("format", "path"))).alias("references"))
+    d = keyed(designs.select("path"), normalize).withColumn("relaxed", L.relaxed_name(F.col("name")))
+    exact = d.join(lists("name"), F.col("name") == F.col("k")).withColumn("match", F.lit("exact"))
+    rest = d.join(r.select("name").distinct(), "name", "left_anti").join(lists("relaxed"), F.col("relaxed") == F.col("k")).withColumn("match", F.lit("relaxed"))
+    return exact.unionByName(rest).select("name", "path", "match", "formats", "references")
+
+
+def formats_of(files: DataFrame, most: int = 50, normalize=L.normalize_name) -> DataFrame:
+    """(name, n_formats, files): names with files (path, format) in two formats or more,
+    most formats first; of several files of a format the last path stands."""
+    rows = keyed(files.select("path", "format"), normalize).groupBy("name", "format").agg(F.max("path").alias("path"))
+    out = rows.groupBy("name").agg(F.count("*").alias("n_formats"), F.array_sort(F.collect_list(F.struct("format", "path"))).alias("files"))
+    return out.where("n_formats >= 2").orderBy(F.desc("n_formats"), "name").limit(most)
+
+
 def strict_pairs(ranking: DataFrame) -> DataFrame:
     """The strict rows in PAIR's columns, by name and paths; a repeated pair is an error."""
     out = ranking.where("strict").select(*PAIR)
