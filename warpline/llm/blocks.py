@@ -1,6 +1,6 @@
 """Blocks and buckets: exact corpus-wide look-ups of hashed keys.
 
-Documents are dealt into *blocks* by a hash of their id.  A block asks about
+Documents are dealt into *blocks* by a hash of their id and text.  A block asks about
 each of its distinct keys once, so a key that a third of all rows share costs
 one entry a block.  Keys are ranged over *buckets* by their leading bits; a
 bucket sees all blocks' requests for its keys and answers in the order asked.
@@ -9,9 +9,13 @@ Everything that moves is a packed array: one row for each block and bucket.
     packed --ask--> (block, bucket, tag, keys, load) --answer--> (block, bucket, tag, ans)
     packed + answers --apply--> rows
 
-Blocks and buckets hold a bounded number of bytes (``block_mb``); only their
-number grows.  Above some tens of TB raise ``block_mb`` with executor memory, as
-the number of packed rows is the product of both numbers.
+There are as many buckets as blocks, so packed rows number blocks times blocks.  A block
+holds ``block_mb`` of text, or so much more that a row stands for ``ROW`` bytes of text:
+rows then grow with the corpus, and blocks with its square root (8 MB up to 64 GB of text,
+32 MB at 1 TB, 100 MB at 10 TB, 316 MB at 100 TB).
+
+Keys are 64-bit hashes.  Where a match decides a result, the rest of a 127-bit hash
+travels as load, and only keys that agree in both match.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import functions as F
 
 from warpline.llm.kernels import U64, arrow_buffer
 
+#: bytes of text that a packed row stands for, at least
+ROW = 1_000
 ASK = "block int, bucket int, tag int, keys binary, load binary"
 ANSWER = "block int, bucket int, tag int, ans binary"
 
@@ -33,13 +39,14 @@ ANSWER = "block int, bucket int, tag int, ans binary"
 def block_count(docs: DataFrame, text: str = "text", block_mb: float = 8.0) -> int:
     """Blocks for this table, from the size of all its texts."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(1, math.ceil(total / (block_mb * 1e6)))
+    return max(1, math.ceil(total / max(block_mb * 1e6, math.sqrt(total * ROW))))
 
 
 def pack(docs: DataFrame, n_blocks: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(block, blob): the documents of a block, several rows of zstd-packed Arrow."""
+    """(block, blob): the documents of a block, several rows of zstd-packed Arrow, dealt
+    into a partition a block about."""
     rows = docs.select(
-        F.pmod(F.xxhash64(F.col(doc_id)), F.lit(n_blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(n_blocks)).cast("int").alias("block"),
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
     )
@@ -60,7 +67,7 @@ def pack(docs: DataFrame, n_blocks: int, doc_id: str = "doc_id", text: str = "te
                 blobs.append(sink.getvalue().to_pybytes())
             yield pa.RecordBatch.from_arrays([pa.array(block[first] if len(first) else [], pa.int32()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
-    return rows.mapInArrow(pack_batches, "block int, blob binary")
+    return rows.mapInArrow(pack_batches, "block int, blob binary").repartition(n_blocks, "block")
 
 
 def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,10 +103,9 @@ def bucket_edges(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
 
 
-def steps(keys: np.ndarray, drop: int) -> bytes:
-    """Sorted keys, without their low ``drop`` bits, as packed differences: a
-    bucket's keys lie close, so their leading bytes cost nothing."""
-    keys = keys >> U64(drop)
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as packed differences: a bucket's keys lie close, so their leading
+    bytes cost nothing."""
     return crunch(np.diff(keys, prepend=U64(0)))
 
 
@@ -107,16 +113,16 @@ def unsteps(raw: bytes) -> np.ndarray:
     return np.cumsum(uncrunch(raw, np.uint64), dtype=np.uint64)
 
 
-def requests(block: int, tag: int, keys: np.ndarray, load: np.ndarray | None, n_buckets: int, drop: int = 0) -> pa.Table:
-    """One row a bucket for sorted distinct keys; their low ``drop`` bits stay behind."""
+def requests(block: int, tag: int, keys: np.ndarray, load: np.ndarray, n_buckets: int) -> pa.Table:
+    """One row a bucket for sorted keys with their load."""
     edges = bucket_edges(keys, n_buckets)
-    rows = [b for b in range(n_buckets) if edges[b] < edges[b + 1]]
+    rows = np.flatnonzero(edges[:-1] < edges[1:]).tolist()
     return pa.table({
         "block": pa.array([block] * len(rows), pa.int32()),
         "bucket": pa.array(rows, pa.int32()),
         "tag": pa.array([tag] * len(rows), pa.int32()),
-        "keys": pa.array([steps(keys[edges[b] : edges[b + 1]], drop) for b in rows], pa.binary()),
-        "load": pa.array([crunch(load[edges[b] : edges[b + 1]]) if load is not None else b"" for b in rows], pa.binary()),
+        "keys": pa.array([steps(keys[edges[b] : edges[b + 1]]) for b in rows], pa.binary()),
+        "load": pa.array([crunch(load[edges[b] : edges[b + 1]]) for b in rows], pa.binary()),
     })
 
 
@@ -169,6 +175,45 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
+def paired(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """grouped() by key and check."""
+    order = np.lexsort((checks, keys))
+    k, c = keys[order], checks[order]
+    new = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1]))) if len(k) else np.zeros(0, bool)
+    return order, np.flatnonzero(new), np.cumsum(new) - 1
+
+
+#: the bit of a load beside a check that isn't part of it
+FLAG = U64(1)
+
+
+def ask_whether(block: int, tag: int, keys: np.ndarray, checks: np.ndarray, several: np.ndarray, n_buckets: int) -> tuple[pa.Table, np.ndarray]:
+    """(requests, where): asks once for each distinct key and check whether it is repeated,
+    with a flag that it is so within the block; where: the request of each key given."""
+    order, start, group = paired(keys, checks)
+    flag = several(order, start, group).astype(U64)
+    where = np.empty(len(keys), np.int64)
+    where[order] = group
+    return requests(block, tag, keys[order][start], (checks[order][start] & ~FLAG) | flag, n_buckets), where
+
+
+def repeated(order: np.ndarray, start: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which groups have two members or more."""
+    return np.diff(np.append(start, len(order))) > 1
+
+
+def answer_whether(keys: np.ndarray, load: np.ndarray, block: np.ndarray, tag: int) -> np.ndarray:
+    """0: the key and check stand in one request without a flag; 1: repeated, and this is the
+    first request of it; 2: repeated."""
+    order, start, group = paired(keys, load & ~FLAG)
+    found = np.add.reduceat((load[order] & FLAG).astype(np.int64) + 1, start) > 1
+    verdict = np.where(found[group], 2, 0)
+    verdict[start] = np.where(found, 1, 0)  # requests come by block: the first leads
+    out = np.empty(len(keys), np.uint8)
+    out[order] = verdict
+    return out
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys and how often each occurs."""
     s = np.sort(keys)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xC2B2AE3D27D4EB4F}
+_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xC2B2AE3D27D4EB4F, "byte check": 0xD6E8FEB86659FD93, "word check": 0xA3EC647659359ACD}
 _cache: dict = {}
 
 
@@ -31,12 +31,12 @@ def powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def byte_values() -> np.ndarray:
+def byte_values(kind: str = "byte") -> np.ndarray:
     """256 fixed random odd 64-bit symbol values."""
-    if "values" not in _cache:
-        x = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95))
-        _cache["values"] = x | U64(1)
-    return _cache["values"]
+    if ("values", kind) not in _cache:
+        x = mix(np.arange(1, 257, dtype=U64) * U64(0xD1342543DE82EF95) + U64(_BASES[kind] if kind != "byte" else 0))
+        _cache["values", kind] = x | U64(1)
+    return _cache["values", kind]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,6 +64,13 @@ def rolling(pre: np.ndarray, length: int, kind: str) -> np.ndarray:
     return mix((pre[length:] - pre[:n]) * powers(kind, n)[1][:n])
 
 
+def windows_hash(pre: np.ndarray, starts: np.ndarray, length: int, kind: str) -> np.ndarray:
+    """rolling() at some starts only."""
+    if not len(starts):
+        return np.zeros(0, dtype=U64)
+    return mix((pre[starts + length] - pre[starts]) * powers(kind, len(pre))[1][starts])
+
+
 def spans_hash(pre: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str) -> np.ndarray:
     """Mixed hash of each [start, end) span, from prefix sums; length counts."""
     if not len(starts):
@@ -118,9 +125,9 @@ def word_spans(buf: np.ndarray, off: np.ndarray, gap: np.ndarray = BLANK) -> tup
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: str = "byte") -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    return spans_hash(prefix(byte_values()[buf], "byte"), starts, ends, "byte")
+    return spans_hash(prefix(byte_values(kind)[buf], kind), starts, ends, kind)
 
 
 def sliding(values: np.ndarray, width: int, op=np.minimum) -> np.ndarray:

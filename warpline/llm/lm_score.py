@@ -17,8 +17,6 @@ from warpline.llm import kernels as K
 
 OUT = "doc_id long, n_words long, score_micros long"
 TOTAL = np.zeros(1, K.U64)  # the key of the number of words
-#: Low bits of an n-gram's 64-bit hash that don't travel.
-DROP = 8
 
 
 def _grams(pre: np.ndarray, order: int) -> np.ndarray:
@@ -59,10 +57,10 @@ def lm_score(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: i
         _, _, parts = open_block(table)
         keys, times = counted(parts)
         words = sum(int(first[-1]) for first, _ in parts)
-        out = B.requests(block, 1, keys, times.astype(np.uint64), n_blocks, DROP)
-        # every bucket gets the number of words under the key 0, which no n-gram has
-        total = [B.requests(block, 2, TOTAL, np.array([words], np.uint64), n_blocks)]
-        return pa.concat_tables([out, *total])
+        out = B.requests(block, 1, keys, times.astype(np.uint64), n_blocks)
+        # the number of words, under the key 0 that no n-gram has: one row a block
+        total = B.requests(block, 2, TOTAL, np.array([words], np.uint64), n_blocks)
+        return pa.concat_tables([out, total])
 
     def add_up(keys, times, block, tag):
         order_, start, group = B.grouped(keys)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where it is unset (tests on one
-    machine) a new temporary folder is taken and set."""
+    """The session's ``spark.checkpoint.dir``; where it is unset, a new temporary folder
+    is taken and set if driver and executors are one process, and else that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         done = spark.sparkContext._jsc.sc().getCheckpointDir()
         if done.isDefined():
             path = done.get()
         else:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             path = tempfile.mkdtemp(prefix="warpline-")
             spark.sparkContext.setCheckpointDir(path)
             path = spark.sparkContext._jsc.sc().getCheckpointDir().get()

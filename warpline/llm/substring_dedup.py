@@ -11,7 +11,8 @@ steps, on the blocks of ``blocks.py``:
    doc_id that has it;
 3. remove the words that a window of a smaller doc_id covers.
 
-Windows are compared by a 64-bit rolling hash.
+Anchors are compared by a 64-bit rolling hash, as they only choose the windows; windows by
+a 128-bit one.  The second 64 bits and the least doc_id of a window travel as its load.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ COVERS = {
     31: (0, 1, 3, 8, 12, 18),
 }
 LAST = np.iinfo(np.int64).max
+#: what travels with a window's key
+WINDOW = np.dtype([("check", np.uint64), ("least", np.int64)])
 OUT = "doc_id long, n_words long, n_removed long, text string"
 
 
@@ -51,6 +54,7 @@ class _Chunk:
         self.starts, self.ends, self.first = K.word_spans(buf, off)
         n = len(self.starts)
         self.pre = K.prefix(K.word_hashes(buf, self.starts, self.ends), "word")
+        self.pre2 = K.prefix(K.word_hashes(buf, self.starts, self.ends, "byte check"), "word check")
         self.doc = np.repeat(np.arange(len(ids)), np.diff(self.first))
         at = np.arange(n) - self.first[:-1][self.doc]
         chosen = np.zeros(period, bool)
@@ -63,7 +67,7 @@ class _Chunk:
         return K.rolling(self.pre, anchor, "word")[self.anchors] if len(self.anchors) else np.zeros(0, K.U64)
 
     def windows(self, repeated):
-        """(positions, keys) of windows that hold a repeated anchor."""
+        """(positions, keys, checks) of windows that hold a repeated anchor."""
         n = len(self.starts)
         near = np.zeros(n + 1, dtype=np.int32)
         at = self.anchors[repeated]
@@ -71,7 +75,7 @@ class _Chunk:
         np.add.at(near, at + 1, -1)
         fits = K.inside(n, self.first, self.length)
         p = np.flatnonzero(fits & (np.cumsum(near)[: len(fits)] > 0))
-        return p, K.rolling(self.pre, self.length, "word")[p] if len(p) else np.zeros(0, K.U64)
+        return p, K.windows_hash(self.pre, p, self.length, "word"), K.windows_hash(self.pre2, p, self.length, "word check")
 
     def kept(self, gone):
         """Texts of the remaining words, one space between."""
@@ -135,32 +139,35 @@ def substring_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", t
         return [c.windows(repeated[np.searchsorted(known, k)] > 0 if len(k) else np.zeros(0, bool)) for c, k in zip(parts, keys, strict=True)]
 
     def smallest(parts, found):
-        keys = np.concatenate([k for _, k in found])
-        ids = np.concatenate([c.ids[c.doc[p]] for c, (p, _) in zip(parts, found, strict=True)])
-        order, start, group = B.grouped(keys)
-        return keys, ids, order, start, group
+        keys, checks = (np.concatenate([f[i] for f in found]) for i in (1, 2))
+        ids = np.concatenate([c.ids[c.doc[f[0]]] for c, f in zip(parts, found, strict=True)])
+        order, start, group = B.paired(keys, checks)
+        least = np.minimum.reduceat(ids[order], start) if len(start) else ids
+        return keys, checks, ids, order, start, group, least
 
     def ask_windows(block: int, table: pa.Table, first: pa.Table) -> pa.Table:
         parts, _ = open_block(table)
-        keys, ids, order, start, _ = smallest(parts, candidates(parts, first))
-        return B.requests(block, 2, keys[order][start], ids[order][start], n_blocks)
-
-    def answer_windows(keys, ids, block, tag):
-        order, start, group = B.grouped(keys)
-        least = np.minimum.reduceat(ids[order], start)
+        keys, checks, _, order, start, _, least = smallest(parts, candidates(parts, first))
+        load = np.empty(len(start), WINDOW)
+        load["check"], load["least"] = checks[order][start], least
+        return B.requests(block, 2, keys[order][start], load, n_blocks)
+
+    def answer_windows(keys, load, block, tag):
+        order, start, group = B.paired(keys, load["check"])
+        least = np.minimum.reduceat(load["least"][order], start)
         out = np.empty(len(keys), np.uint8)
-        out[order] = ids[order] > least[group]
+        out[order] = load["least"][order] > least[group]
         return out
 
     def finish(block: int, table: pa.Table, answers: pa.Table) -> pa.Table:
         parts, null = open_block(table)
         found = candidates(parts, answers)
-        keys, ids, order, start, group = smallest(parts, found)
+        keys, _, ids, order, _, group, least = smallest(parts, found)
         smaller = B.replies(answers, 2, np.uint8) > 0
         hit = np.empty(len(keys), bool)
-        hit[order] = smaller[group] | (ids[order] > ids[order][start][group]) if len(keys) else False
+        hit[order] = smaller[group] | (ids[order] > least[group]) if len(keys) else False
         rows, at = [], 0
-        for c, (p, _) in zip(parts, found, strict=True):
+        for c, (p, _, _) in zip(parts, found, strict=True):
             starts = np.zeros(len(c.starts), bool)
             starts[p[hit[at : at + len(p)]]] = True
             at += len(p)
@@ -172,5 +179,5 @@ def substring_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", t
 
     asked = B.ask(packed, ask_anchors)
     first = shared_table(B.answer(asked, answer_anchors, np.uint8))
-    second = B.answer(B.ask_again(packed, first, ask_windows), answer_windows, np.int64)
+    second = B.answer(B.ask_again(packed, first, ask_windows), answer_windows, WINDOW)
     return B.ask_again(packed, first.unionByName(second), finish, OUT)

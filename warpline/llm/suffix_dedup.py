@@ -13,7 +13,7 @@ so the digits are taken coarse to fine, each pass on hashes of whole digits:
 2. the *full digit*: the remaining suffixes are ordered by all ``length`` bytes;
    groups of two or more are the repeated windows.
 
-Digits are compared by 64-bit rolling hashes, on the blocks of ``blocks.py``.
+Digits are compared by 127-bit rolling hashes, on the blocks of ``blocks.py``.
 """
 
 from __future__ import annotations
@@ -38,9 +38,11 @@ class _Chunk:
         self.gram = max(1, length // 2)
         self.reach = length - self.gram
         self.pre = K.prefix(K.byte_values()[buf], "byte")
+        self.pre2 = K.prefix(K.byte_values("byte check")[buf], "byte check")
         self.fits = K.inside(n, off, length)
         none = np.zeros(0, np.int64)
-        self.anchors, self.anchor_keys, self.stretch, self.stretch_keys = none, none.astype(K.U64), none, none.astype(K.U64)
+        self.anchors, self.stretch = none, none
+        self.anchor_keys = self.anchor_checks = self.stretch_keys = self.stretch_checks = none.astype(K.U64)
         if not self.fits.any():
             return
         gram = K.rolling(self.pre, self.gram, "byte")
@@ -52,15 +54,18 @@ class _Chunk:
         top = K.sliding(np.concatenate((pad, least, pad)), width, np.maximum)
         self.anchors = np.flatnonzero((top == gram) & (gram != NONE))
         self.anchor_keys = gram[self.anchors]
+        self.anchor_checks = K.windows_hash(self.pre2, self.anchors, self.gram, "byte check")
         a, b = self.anchors[:-1], self.anchors[1:]
         doc = np.searchsorted(off, self.anchors, side="right") - 1
         end = off[1:][doc]
         whole = (doc[:-1] == doc[1:]) & (b + length - 1 <= end[:-1]) if len(a) else np.zeros(0, bool)
         self.stretch = np.flatnonzero(whole)
-        self.stretch_keys = K.mix(K.spans_hash(self.pre, a[whole], b[whole] + length - 1, "byte") ^ K.U64(0x5851F42D4C957F2D))
+        ends = b[whole] + length - 1
+        self.stretch_keys = K.mix(K.spans_hash(self.pre, a[whole], ends, "byte") ^ K.U64(0x5851F42D4C957F2D))
+        self.stretch_checks = K.spans_hash(self.pre2, a[whole], ends, "byte check")
 
     def sort_out(self, repeated, verdict, lead):
-        """(known, positions, keys): windows known to be repeated, and those that
+        """(known, positions, keys, checks): windows known to be repeated, and those that
         the full digit has to order.  repeated: of anchors; verdict and lead: of
         stretches."""
         n, m = len(self.buf), len(self.fits)
@@ -72,7 +77,7 @@ class _Chunk:
         a, b = self.anchors[self.stretch], self.anchors[self.stretch + 1] if len(self.stretch) else self.stretch
         known, led = (self._between(a[x], b[x], m) for x in (verdict > 0, (verdict == 1) & lead))
         p = np.flatnonzero(maybe & (~known | led))
-        return known, p, K.rolling(self.pre, self.length, "byte")[p] if len(p) else np.zeros(0, K.U64)
+        return known, p, K.windows_hash(self.pre, p, self.length, "byte"), K.windows_hash(self.pre2, p, self.length, "byte check")
 
     @staticmethod
     def _between(a, b, m):
@@ -98,31 +103,19 @@ def suffix_dedup(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
         ids, null, buf, off = B.unpack(table)
         return [_Chunk(buf[off[a] : off[b]], off[a : b + 1] - off[a], length) for a, b in K.chunks(off)], ids, null
 
-    def coarse(parts):
-        return np.concatenate([k for c in parts for k in (c.anchor_keys, c.stretch_keys)])
+    def coarse(block, parts):
+        keys = np.concatenate([k for c in parts for k in (c.anchor_keys, c.stretch_keys)])
+        checks = np.concatenate([k for c in parts for k in (c.anchor_checks, c.stretch_checks)])
+        return B.ask_whether(block, 1, keys, checks, B.repeated, n_blocks)
 
     def ask_coarse(block: int, table: pa.Table) -> pa.Table:
-        parts, _, _ = open_block(table)
-        keys, times = B.distinct(coarse(parts))
-        return B.requests(block, 1, keys, (times > 1).astype(np.uint8), n_blocks)
-
-    def answer_coarse(keys, several, block, tag):
-        order, start, group = B.grouped(keys)
-        found = np.add.reduceat(several[order].astype(np.int64) + 1, start) > 1
-        verdict = np.where(found[group], 2, 0)
-        verdict[start] = np.where(found, 1, 0)  # the first block leads
-        out = np.empty(len(keys), np.uint8)
-        out[order] = verdict
-        return out
+        return coarse(block, open_block(table)[0])[0]
 
-    def fine(parts, first):
-        keys = coarse(parts)
-        known, _ = B.distinct(keys)
-        verdict = B.replies(first, 1, np.uint8)
-        order, start, _ = B.grouped(keys)
-        lead = np.zeros(len(keys), bool)
-        lead[order[start]] = True
-        verdict = verdict[np.searchsorted(known, keys)] if len(keys) else np.zeros(0, np.uint8)
+    def fine(block, parts, first):
+        _, where = coarse(block, parts)
+        verdict = B.replies(first, 1, np.uint8)[where]
+        lead = np.zeros(len(where), bool)
+        lead[np.unique(where, return_index=True)[1]] = True
         out, at = [], 0
         for c in parts:
             mid, end = at + len(c.anchor_keys), at + len(c.anchor_keys) + len(c.stretch_keys)
@@ -130,27 +123,21 @@ def suffix_dedup(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
             at = end
         return out
 
+    def full(block, found):
+        return B.ask_whether(block, 2, np.concatenate([k for _, _, k, _ in found]), np.concatenate([c for *_, c in found]), B.repeated, n_blocks)
+
     def ask_full(block: int, table: pa.Table, first: pa.Table) -> pa.Table:
-        parts, _, _ = open_block(table)
-        keys, times = B.distinct(np.concatenate([k for _, _, k in fine(parts, first)]))
-        return B.requests(block, 2, keys, (times > 1).astype(np.uint8), n_blocks)
-
-    def answer_full(keys, several, block, tag):
-        order, start, group = B.grouped(keys)
-        found = np.add.reduceat(several[order].astype(np.int64) + 1, start) > 1
-        out = np.empty(len(keys), np.uint8)
-        out[order] = found[group]
-        return out
+        return full(block, fine(block, open_block(table)[0], first))[0]
 
     def finish(block: int, table: pa.Table, answers: pa.Table) -> pa.Table:
         parts, ids, null = open_block(table)
-        found = fine(parts, answers)
-        order, _ = B.distinct(np.concatenate([k for _, _, k in found]))
-        repeated = B.replies(answers, 2, np.uint8) > 0
-        rows = []
-        for c, (known, p, keys) in zip(parts, found, strict=True):
+        found = fine(block, parts, answers)
+        hit = B.replies(answers, 2, np.uint8)[full(block, found)[1]] > 0
+        rows, at = [], 0
+        for c, (known, p, _, _) in zip(parts, found, strict=True):
             starts = known.copy()
-            starts[p[repeated[np.searchsorted(order, keys)]] if len(p) else p] = True
+            starts[p[hit[at : at + len(p)]]] = True
+            at += len(p)
             n, n_docs = len(c.buf), len(c.off) - 1
             gone = K.cover(starts, length, n)
             total = np.concatenate(([0], np.cumsum(gone)))
@@ -166,7 +153,6 @@ def suffix_dedup(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
             rows.append(pa.table({"n_bytes": size, "n_removed": n_gone.astype(np.int64), "n_spans": (spans[c.off[1:]] - spans[c.off[:-1]]).astype(np.int64), "kept": pa.Array.from_buffers(pa.large_binary(), n_docs, [None, pa.py_buffer(off), pa.py_buffer(kept)]).cast(pa.binary())}))
         return pa.concat_tables(rows).add_column(0, "doc_id", pa.array(ids, mask=null))
 
-    asked = B.ask(packed, ask_coarse)
-    first = shared_table(B.answer(asked, answer_coarse, np.uint8))
-    second = B.answer(B.ask_again(packed, first, ask_full), answer_full, np.uint8)
+    first = shared_table(B.answer(B.ask(packed, ask_coarse), B.answer_whether, np.uint64))
+    second = B.answer(B.ask_again(packed, first, ask_full), B.answer_whether, np.uint64)
     return B.ask_again(packed, first.unionByName(second), finish, OUT)
