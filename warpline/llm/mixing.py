@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from warpline.llm.storage import shared_table
 
-BINS = 2_048
+#: bins of a source at least, and documents of a bin about (all sources taken together)
+BINS, IN_BIN = 2_048, 100_000
+#: sources that one task orders, at most; more are ranked by ranges
+FEW = 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -36,16 +39,42 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), shar
     times all sizes; a target stops at ``cap`` times its source's size and the
     excess is reshared: each target is the least of its cap and one level times
     its weight."""
-    everything = W.partitionBy(F.lit(1))
-    place = F.row_number().over(everything.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (place % len(weights) + 1).cast("int"))
-    rows = sizes.select("source", "source_size", weight.alias("w")).withColumn("cap", F.col("source_size") * F.lit(float(cap)))
-    ranked = everything.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    rest = F.sum("source_size").over(everything) * F.lit(float(share)) - (F.sum("cap").over(ranked.rowsBetween(W.unboundedPreceding, 0)) - F.col("cap"))
-    rows = rows.withColumn("level", rest / F.sum("w").over(ranked.rowsBetween(0, W.unboundedFollowing))).withColumn("rank", F.row_number().over(ranked))
-    free = F.col("cap") > F.col("level") * F.col("w")
-    rows = rows.withColumn("level", F.min_by(F.when(free, F.col("level")), F.when(free, F.col("rank"))).over(everything))
-    return rows.select("source", "source_size", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w"))).alias("target"))
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    rows = _placed(sizes).select("source", "source_size", weight.alias("w")).withColumn("cap", F.col("source_size") * F.lit(float(cap)))
+    level = _level(rows, share)
+    fits = F.when(F.col("cap") > level * F.col("w"), level * F.col("w")).otherwise(F.col("cap"))
+    return rows.select("source", "source_size", fits.alias("target"))
+
+
+def _placed(sizes: DataFrame) -> DataFrame:
+    """Adds each source's place, from 0, by code point, null last."""
+    order = F.col("source").asc_nulls_last()
+    if sizes.limit(FEW + 1).count() <= FEW:
+        return sizes.withColumn("place", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(order)) - 1)
+    # ranges of sources, each ranked apart; written down, as another reading could draw other ranges
+    rows = shared_table(sizes.repartitionByRange(order).withColumn("part", F.spark_partition_id()))
+    counts = rows.groupBy("part").agg(F.count("*").alias("n"))
+    before = counts.select("part", (F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("part")) - F.col("n")).alias("before"))
+    rank = F.row_number().over(W.partitionBy("part").orderBy(order)) - 1
+    return rows.withColumn("rank", rank).join(F.broadcast(before), "part").select("source", "source_size", (F.col("rank") + F.col("before")).alias("place"))
+
+
+def _level(rows: DataFrame, share: float) -> Column:
+    """What a unit of weight gets: the level at which all targets, the capped ones
+    included, use up the shared words.  The sources capped at one level raise the next, so
+    it rises until no further source is capped; each step is one sum over the sources."""
+    everything = rows.agg(F.sum("source_size").alias("n")).first().n
+    level = 0.0
+    while everything:
+        capped = F.col("cap") <= F.lit(level) * F.col("w")
+        sums = rows.agg(F.sum(F.when(capped, F.col("cap"))).alias("used"), F.sum(F.when(~capped, F.col("w"))).alias("w")).first()
+        if sums.w is None:
+            return F.lit(float("inf"))
+        higher = (everything * share - (sums.used or 0.0)) / sums.w
+        if higher <= level:
+            break
+        level = higher
+    return F.lit(level)
 
 
 def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: float = 1.5, cap: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -66,10 +95,11 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
     else:
         base = base.withColumn("weight", F.lit(1.0))
     key = sample_key(F.col("doc_id"), F.coalesce("weight", F.lit(1.0)))
-    base = base.withColumn("key", key).withColumn("bin", F.least(F.floor((1 - F.exp(-F.col("key"))) * BINS), F.lit(BINS - 1)).cast("int")).drop("weight")
-    base = shared_table(base)
+    base = shared_table(base.withColumn("key", key).drop("weight"))
+    n_bins = max(BINS, base.count() // IN_BIN)
+    base = base.withColumn("bin", F.least(F.floor((1 - F.exp(-F.col("key"))) * n_bins), F.lit(n_bins - 1)).cast("int"))
     bins = base.groupBy("source", "bin").agg(F.sum("size").alias("n"))
-    sizes = bins.groupBy("source").agg(F.sum("n").alias("source_size"))
+    sizes = shared_table(bins.groupBy("source").agg(F.sum("n").alias("source_size")))
     before = F.sum("n").over(W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
     goal = targets(sizes, weights, share, cap).withColumnRenamed("source", "g")
     bins = bins.withColumn("before", before).join(goal, F.col("source").eqNullSafe(F.col("g"))).drop("g", "n").withColumnsRenamed({"source": "b", "bin": "b_bin"})
@@ -83,8 +113,8 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[float,
 
 
 def mixture(docs: DataFrame, quality: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that the mix takes, with all their columns and two more:
-    copies and taken.  Rows alike in id and text share their copies evenly, rounded
+    """The documents that the mix takes, with all their columns and two more, copies
+    and taken; columns of these names in docs are replaced.  Rows alike in id and text share their copies evenly, rounded
     up."""
     rows = mix(docs, quality, doc_id=doc_id, text=text, **options).groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     rows = rows.agg(F.ceil(F.avg("copies")).cast("int").alias("copies"), F.max("size").alias("__size")).where(F.col("copies") > 0)
