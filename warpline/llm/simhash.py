@@ -30,6 +30,8 @@ BITS = 3
 EVEN = K.U64(0x5555555555555555)
 #: fingerprints of a cell that are compared all with all; larger cells are dealt out again
 DENSE = 2048
+#: fingerprints (of all) that one task about spreads, and from how many on cells are dealt out by blocks
+IN_TASK, MANY = 100_000, 1 << 30
 
 
 def shingles_of(buf: np.ndarray, off: np.ndarray, shingle: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -196,16 +198,26 @@ def _links(keys: np.ndarray, fp: np.ndarray, node: np.ndarray, own: np.ndarray,
 
 def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """(u, v) links among (fp, node) rows of distinct fingerprints that connect all
-    whose fingerprints differ in ``bits`` bits or fewer (three at most)."""
+    whose fingerprints differ in ``bits`` bits or fewer (three at most).
+
+    A cell is compared by one task.  Of more than ``MANY`` fingerprints the fullest cells
+    would grow too large for that (a cell has up to one in 2^16 of them, and its
+    neighbours'), so each cell is then dealt out by equal blocks of bits: of ``bits + 1``
+    blocks two linked fingerprints have one in common."""
     if not 0 <= bits <= 3:
         raise ValueError("the grid's radius serves 0 to 3 differing bits")
+    n = distinct.count()
+    finer = n > MANY
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, node = batch["fp"].to_numpy().view(np.uint64), batch["node"].to_numpy()
-            for k in range(0, len(fp), 20_000):
-                key, row, own = cells_of(fp[k : k + 20_000])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(fp[k : k + 20_000][row].view(np.int64)), pa.array(node[k : k + 20_000][row]), pa.array(own)], ["cell", "fp", "node", "own"])
+            fps, nodes = batch["fp"].to_numpy().view(np.uint64), batch["node"].to_numpy()
+            for k in range(0, len(fps), 20_000):
+                fp, node = fps[k : k + 20_000], nodes[k : k + 20_000]
+                key, row, own = cells_of(fp)
+                for block in range(bits + 1) if finer else (None,):
+                    cell = key if block is None else dealt(key, fp[row], block, bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(fp[row].view(np.int64)), pa.array(node[row]), pa.array(own)], ["cell", "fp", "node", "own"])
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -223,8 +235,16 @@ def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     cells = distinct.select("fp", "node").mapInArrow(spread, "cell long, fp long, node long, own boolean")
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.repartition(n, "cell").sortWithinPartitions("cell", "node").mapInArrow(match, "u long, v long")
+    parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // IN_TASK)
+    return cells.repartition(parts, "cell").sortWithinPartitions("cell", "node").mapInArrow(match, "u long, v long")
+
+
+def dealt(cell: np.ndarray, fp: np.ndarray, block: int, bits: int) -> np.ndarray:
+    """A cell's key together with one block of a fingerprint's bits.  Keys of different cells may
+    meet by chance: fingerprints are compared as they are, so that links nothing wrong."""
+    width = 64 // (bits + 1)
+    part = (fp >> K.U64(block * width)) & K.U64((1 << width) - 1 if width < 64 else 0xFFFFFFFFFFFFFFFF)
+    return K.mix(K.mix(cell + K.U64(block << 40)) ^ part)
 
 
 def simhash_components(docs: DataFrame, bits: int = BITS, shingle: int = 3, seed: int = SEED, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
