@@ -66,7 +66,7 @@ def places(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
 def line_dedup(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, doc_id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """docs with all their columns; every boilerplate line is cut from the text
     but at its first place (least doc_id, then first line).  Two columns are
-    added: n_lines and n_removed.
+    added, n_lines and n_removed; columns of these names in docs are replaced.
 
     Lines are what newlines divide, compared without the blanks at their ends;
     blank lines are always kept.  A text whose lines all go becomes empty; a null
