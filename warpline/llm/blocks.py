@@ -151,8 +151,9 @@ def ask_again(packed: DataFrame, answers: DataFrame, fn: Callable[[int, pa.Table
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def answer(asked: DataFrame, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray], load_dtype) -> DataFrame:
-    """fn(keys, load, block of each, tag) gives each request's answer, in order."""
+def answer(asked: DataFrame, n_buckets: int, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray], load_dtype) -> DataFrame:
+    """fn(keys, load, block of each, tag) gives each request's answer, in order; a
+    partition a bucket about."""
 
     def run(key, table):
         table = table.sort_by("block")
@@ -164,7 +165,7 @@ def answer(asked: DataFrame, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, i
         parts = np.split(out, np.cumsum(sizes)[:-1])
         return pa.table({"block": table["block"], "bucket": table["bucket"], "tag": table["tag"], "ans": pa.array([crunch(p) for p in parts], pa.binary())})
 
-    return asked.groupBy("bucket", "tag").applyInArrow(run, ANSWER)
+    return asked.repartition(n_buckets, "bucket", "tag").groupBy("bucket", "tag").applyInArrow(run, ANSWER)
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

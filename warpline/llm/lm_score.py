@@ -96,5 +96,5 @@ def lm_score(docs: DataFrame, order: int = 3, backoff: float = 0.4, min_count: i
             score.append(total[first[1:]] - total[first[:-1]])
         return pa.table({"doc_id": pa.array(ids, mask=null), "n_words": np.concatenate(n_words), "score_micros": np.concatenate(score)})
 
-    counted_up = B.answer(B.ask(packed, ask), add_up, np.uint64)
+    counted_up = B.answer(B.ask(packed, ask), n_blocks, add_up, np.uint64)
     return B.ask_again(packed, counted_up, finish, OUT)

@@ -178,6 +178,6 @@ def substring_dedup(docs: DataFrame, length: int = 50, doc_id: str = "doc_id", t
         return out.add_column(0, "doc_id", pa.array(own, mask=null))
 
     asked = B.ask(packed, ask_anchors)
-    first = shared_table(B.answer(asked, answer_anchors, np.uint8))
-    second = B.answer(B.ask_again(packed, first, ask_windows), answer_windows, WINDOW)
+    first = shared_table(B.answer(asked, n_blocks, answer_anchors, np.uint8))
+    second = B.answer(B.ask_again(packed, first, ask_windows), n_blocks, answer_windows, WINDOW)
     return B.ask_again(packed, first.unionByName(second), finish, OUT)

@@ -153,6 +153,6 @@ def suffix_dedup(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", tex
             rows.append(pa.table({"n_bytes": size, "n_removed": n_gone.astype(np.int64), "n_spans": (spans[c.off[1:]] - spans[c.off[:-1]]).astype(np.int64), "kept": pa.Array.from_buffers(pa.large_binary(), n_docs, [None, pa.py_buffer(off), pa.py_buffer(kept)]).cast(pa.binary())}))
         return pa.concat_tables(rows).add_column(0, "doc_id", pa.array(ids, mask=null))
 
-    first = shared_table(B.answer(B.ask(packed, ask_coarse), B.answer_whether, np.uint64))
-    second = B.answer(B.ask_again(packed, first, ask_full), B.answer_whether, np.uint64)
+    first = shared_table(B.answer(B.ask(packed, ask_coarse), n_blocks, B.answer_whether, np.uint64))
+    second = B.answer(B.ask_again(packed, first, ask_full), n_blocks, B.answer_whether, np.uint64)
     return B.ask_again(packed, first.unionByName(second), finish, OUT)
