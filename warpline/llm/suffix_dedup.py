@@ -37,15 +37,14 @@ class _Chunk:
         self.buf, self.off, self.length, n = buf, off, length, len(buf)
         self.gram = max(1, length // 2)
         self.reach = length - self.gram
-        self.pre = K.prefix(K.byte_values()[buf], "byte")
-        self.pre2 = K.prefix(K.byte_values("byte check")[buf], "byte check")
         self.fits = K.inside(n, off, length)
         none = np.zeros(0, np.int64)
         self.anchors, self.stretch = none, none
         self.anchor_keys = self.anchor_checks = self.stretch_keys = self.stretch_checks = none.astype(K.U64)
         if not self.fits.any():
             return
-        gram = K.rolling(self.pre, self.gram, "byte")
+        pre, pre2 = self.prefixes()
+        gram = K.rolling(pre, self.gram, "byte")
         gram[~K.inside(n, off, self.gram)] = NONE
         width = self.reach + 1
         least = K.sliding(gram, width)
@@ -54,15 +53,19 @@ class _Chunk:
         top = K.sliding(np.concatenate((pad, least, pad)), width, np.maximum)
         self.anchors = np.flatnonzero((top == gram) & (gram != NONE))
         self.anchor_keys = gram[self.anchors]
-        self.anchor_checks = K.windows_hash(self.pre2, self.anchors, self.gram, "byte check")
+        self.anchor_checks = K.windows_hash(pre2, self.anchors, self.gram, "byte check")
         a, b = self.anchors[:-1], self.anchors[1:]
         doc = np.searchsorted(off, self.anchors, side="right") - 1
         end = off[1:][doc]
         whole = (doc[:-1] == doc[1:]) & (b + length - 1 <= end[:-1]) if len(a) else np.zeros(0, bool)
         self.stretch = np.flatnonzero(whole)
         ends = b[whole] + length - 1
-        self.stretch_keys = K.mix(K.spans_hash(self.pre, a[whole], ends, "byte") ^ K.U64(0x5851F42D4C957F2D))
-        self.stretch_checks = K.spans_hash(self.pre2, a[whole], ends, "byte check")
+        self.stretch_keys = K.mix(K.spans_hash(pre, a[whole], ends, "byte") ^ K.U64(0x5851F42D4C957F2D))
+        self.stretch_checks = K.spans_hash(pre2, a[whole], ends, "byte check")
+
+    def prefixes(self):
+        """Prefix sums of hash and check: sixteen bytes a byte, so not kept for a whole block."""
+        return (K.prefix(K.byte_values(kind)[self.buf], kind) for kind in ("byte", "byte check"))
 
     def sort_out(self, repeated, verdict, lead):
         """(known, positions, keys, checks): windows known to be repeated, and those that
@@ -77,7 +80,9 @@ class _Chunk:
         a, b = self.anchors[self.stretch], self.anchors[self.stretch + 1] if len(self.stretch) else self.stretch
         known, led = (self._between(a[x], b[x], m) for x in (verdict > 0, (verdict == 1) & lead))
         p = np.flatnonzero(maybe & (~known | led))
-        return known, p, K.windows_hash(self.pre, p, self.length, "byte"), K.windows_hash(self.pre2, p, self.length, "byte check")
+        none = np.zeros(0, K.U64)
+        keys, checks = (K.windows_hash(pre, p, self.length, kind) for pre, kind in zip(self.prefixes(), ("byte", "byte check"), strict=True)) if len(p) else (none, none)
+        return known, p, keys, checks
 
     @staticmethod
     def _between(a, b, m):
