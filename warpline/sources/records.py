@@ -177,13 +177,14 @@ def triple_rows(df: DataFrame, raw: str, start: int, count: int, names: tuple[st
     more.  Properties, nested records, links, containers and child properties are such
     triples: (id, type, value), (a, b, c) or (source, target, type)."""
     whole = F.least(F.lit(count), F.floor((F.length(raw) - start) / 12).cast("int"))
-    rows = df.withColumn("place", F.when(whole > 0, F.sequence(F.lit(0), whole - 1)))
-    word = lambda i, k: u32(F.col(raw), F.lit(start + 1 + 4 * k) + i * 12)
-    rows = rows.withColumn("place", F.transform("place", lambda i: F.struct(i.alias("place"), *(word(i, k).alias(n) for k, n in enumerate(names)))))
+    part = lambda i: F.substring(raw, F.lit(start + 1) + i * 12, F.lit(12))
+    rows = df.withColumn("place", F.when(whole > 0, F.transform(F.sequence(F.lit(0), whole - 1), part)))
     if stop_id is not None:
-        last = F.filter("place", lambda x: x[names[0]] >= stop_id)
-        rows = rows.withColumn("place", F.filter("place", lambda x: F.coalesce(x["place"] < F.try_element_at(last, F.lit(1))["place"], F.lit(True))))
-    return rows.drop(raw).select("*", F.explode("place").alias("__t")).drop("place").select("*", "__t.*").drop("__t")
+        stop = F.array_position(F.transform("place", lambda x: u32(x, F.lit(1)) >= stop_id), True).cast("int")
+        rows = rows.withColumn("place", F.when(stop > 0, F.slice("place", 1, stop - 1)).otherwise(F.col("place")))
+    # outer: else the rows with triples are filtered first, by the whole expression once for each word
+    rows = rows.select(*(c for c in df.columns if c != raw), F.posexplode_outer("place").alias("place", "__t")).where(F.col("__t").isNotNull())
+    return rows.withColumns({n: u32(F.col("__t"), F.lit(1 + 4 * k)) for k, n in enumerate(names)}).drop("__t")
 
 
 def words(df: DataFrame, raw: str, start: int = 0, count: int = 100) -> DataFrame:
