@@ -121,7 +121,8 @@ def permuted(df: DataFrame, key: str, round_: Column, place: str = "place") -> D
     start = F.sum("__n").over(W.partitionBy("__round").orderBy("__b").rowsBetween(W.unboundedPreceding, 0)) - F.col("__n")
     starts = sizes.select("__round", "__b", start.alias("__s"))  # 4096 rows a round at most
     rank = F.row_number().over(W.partitionBy("__round", "__b").orderBy("__h", key))
-    rows = rows.withColumn("__r", rank).join(starts, ["__round", "__b"]).withColumn(place, F.col("__r") + F.col("__s"))
+    # not broadcast, which would pass 4096 rows a round through the driver; the rows are dealt and sorted by these keys
+    rows = rows.withColumn("__r", rank).join(starts.hint("merge"), ["__round", "__b"]).withColumn(place, F.col("__r") + F.col("__s"))
     return rows.drop("__b", "__h", "__r", "__s", "__round")
 
 
@@ -132,7 +133,7 @@ def negative_control(df: DataFrame, key: str, matches: Callable[[Column, Column]
     whole = F.explode(F.sequence(F.lit(1), F.lit(rounds)))
     own = permuted(df, key, F.lit(0)).select("place", F.struct(*side).alias("own"))
     other = permuted(df.select(key, *side).withColumn("round", whole), key, F.col("round")).select("round", "place", F.struct(*side).alias("other"))
-    hits = other.join(own, "place").groupBy("round").agg(F.count_if(matches(lambda c: F.col(f"own.{c}"), lambda c: F.col(f"other.{c}"))).alias("hits"))
+    hits = other.join(own.hint("shuffle_hash"), "place").groupBy("round").agg(F.count_if(matches(lambda c: F.col(f"own.{c}"), lambda c: F.col(f"other.{c}"))).alias("hits"))
     return hits.agg(F.count("*").alias("rounds"), F.avg("hits").alias("mean"), F.max("hits").alias("most"), F.sum("hits").alias("total"), F.count_if(F.col("hits") > 0).alias("nonzero"))
 
 
