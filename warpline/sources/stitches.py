@@ -26,13 +26,15 @@ def headers(files: DataFrame) -> DataFrame:
     """(path, header map<string, string>); of a repeated key the last value holds.
     Other than ASCII bytes are dropped, NUL and 0x1A stripped, and blanks inside
     values removed."""
-    raw = F.substring("content", 1, HEADER)
-    text = F.decode(F.unhex(F.regexp_replace(F.hex(raw), "(?:[89A-F][0-9A-F])(?=(?:..)*$)", "")), "US-ASCII")
-    lines = F.transform(F.split(text, "\r"), lambda x: F.btrim(x, F.lit("\x00\x1a \n\t")))
-    pairs = F.transform(F.filter(lines, lambda x: F.instr(x, ":") > 1), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.regexp_replace(F.regexp_replace(x, "^[^:]*:", ""), r"\s+", "").alias("v")))
+    text = F.regexp_replace(F.decode(F.substring("content", 1, HEADER), "ISO-8859-1"), "[^\\x00-\\x7F]+", "")
+    lines = F.transform(F.split(text, "\r"), lambda x: F.btrim(F.trim(x), F.lit("\x00\x1a \n\t")))
+    bare = lambda x: F.translate(F.substring(x, F.instr(x, ":") + 1, F.length(x)), " \t\n\x0b\f\r", "")
+    pairs = F.transform(F.filter(lines, lambda x: F.instr(x, ":") > 1), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), bare(x).alias("v")))
+    # a column each, else every pair would be held against pairs that are parsed anew for it
+    rows = files.select("path", pairs.alias("p")).select("path", "p", F.col("p.k").alias("k"))
     # the last of equal keys
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-    return files.select("path", F.map_from_entries(last).alias("header"))
+    last = F.filter("p", lambda p, i: ~F.array_contains(F.slice("k", i + 2, F.size("k")), p["k"]))
+    return rows.select("path", F.map_from_entries(last).alias("header"))
 
 
 def header_numbers(headers_: DataFrame) -> DataFrame:
@@ -58,14 +60,20 @@ def commands(files: DataFrame) -> DataFrame:
 
 def summary(files: DataFrame) -> DataFrame:
     """One row a file: numbers of commands by type, bounds with the origin, end point."""
-    c = commands(files)
-    box = Q.bounds(c.where("type <> 'end'"), ["path"], "x", "y")
-    counts = c.groupBy("path").agg(
+    zero = {k: 0 for k in ("command_count", "stitch_count", "jump_count", "color_changes", "min_x", "max_x", "min_y", "max_y", "width", "height", "end_x", "end_y")}
+    return files.select("path").join(_measured(files), "path", "left").fillna(zero).fillna({"has_end": False})
+
+
+def _measured(files: DataFrame) -> DataFrame:
+    """summary() of the files with commands, by one aggregation."""
+    inside = lambda c: F.coalesce(F.when(F.col("type") != "end", F.col(c)), F.lit(0))
+    out = commands(files).groupBy("path").agg(
         F.count("*").alias("command_count"), F.count_if(F.col("type") == "stitch").alias("stitch_count"),
         F.count_if(F.col("type") == "jump").alias("jump_count"), F.count_if(F.col("type") == "color_change").alias("color_changes"),
-        F.bool_or(F.col("type") == "end").alias("has_end"), F.max_by("x", "index").alias("end_x"), F.max_by("y", "index").alias("end_y"))
-    zero = {k: 0 for k in ("command_count", "stitch_count", "jump_count", "color_changes", "min_x", "max_x", "min_y", "max_y", "width", "height", "end_x", "end_y")}
-    return files.select("path").join(counts, "path", "left").join(box, "path", "left").fillna(zero).fillna({"has_end": False})
+        F.bool_or(F.col("type") == "end").alias("has_end"), F.max_by("x", "index").alias("end_x"), F.max_by("y", "index").alias("end_y"),
+        *(F.least(F.lit(0), F.min(inside(c))).alias(f"min_{c}") for c in "xy"), *(F.greatest(F.lit(0), F.max(inside(c))).alias(f"max_{c}") for c in "xy"))
+    out = out.select("path", "command_count", "stitch_count", "jump_count", "color_changes", "has_end", "end_x", "end_y", "min_x", "max_x", "min_y", "max_y")
+    return out.withColumns({"width": F.col("max_x") - F.col("min_x"), "height": F.col("max_y") - F.col("min_y")})
 
 
 def mismatches(files: DataFrame) -> DataFrame:
