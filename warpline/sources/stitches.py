@@ -6,7 +6,7 @@ the running position is a window by file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from warpline.functions import stitch as S
@@ -22,8 +22,8 @@ def split_short(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return files.where(~short), errors
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """(path, header map<string, string>); of a repeated key the last value holds.
+def headers(files: DataFrame, *more: Column) -> DataFrame:
+    """(path, ``more``, header map<string, string>); of a repeated key the last value holds.
     Other than ASCII bytes are dropped, NUL and 0x1A stripped, and blanks inside
     values removed."""
     text = F.regexp_replace(F.decode(F.substring("content", 1, HEADER), "ISO-8859-1"), "[^\\x00-\\x7F]+", "")
@@ -31,15 +31,15 @@ def headers(files: DataFrame) -> DataFrame:
     bare = lambda x: F.translate(F.substring(x, F.instr(x, ":") + 1, F.length(x)), " \t\n\x0b\f\r", "")
     pairs = F.transform(F.filter(lines, lambda x: F.instr(x, ":") > 1), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), bare(x).alias("v")))
     # a column each, else every pair would be held against pairs that are parsed anew for it
-    rows = files.select("path", pairs.alias("p")).select("path", "p", F.col("p.k").alias("k"))
+    rows = files.select("path", *more, pairs.alias("p")).withColumn("k", F.col("p.k"))
     # the last of equal keys
     last = F.filter("p", lambda p, i: ~F.array_contains(F.slice("k", i + 2, F.size("k")), p["k"]))
-    return rows.select("path", F.map_from_entries(last).alias("header"))
+    return rows.withColumn("header", F.map_from_entries(last)).drop("p", "k")
 
 
 def header_numbers(headers_: DataFrame) -> DataFrame:
     keys = {"ST": "st", "CO": "co", "+X": "plus_x", "-X": "minus_x", "+Y": "plus_y", "-Y": "minus_y", "AX": "ax", "AY": "ay"}
-    return headers_.select("path", *(F.try_element_at("header", F.lit(k)).try_cast("long").alias(v) for k, v in keys.items()))
+    return headers_.select(*(c for c in headers_.columns if c != "header"), *(F.try_element_at("header", F.lit(k)).try_cast("long").alias(v) for k, v in keys.items()))
 
 
 def commands(files: DataFrame) -> DataFrame:
@@ -60,8 +60,12 @@ def commands(files: DataFrame) -> DataFrame:
 
 def summary(files: DataFrame) -> DataFrame:
     """One row a file: numbers of commands by type, bounds with the origin, end point."""
+    return _with_measures(files.select("path"), files)
+
+
+def _with_measures(rows: DataFrame, files: DataFrame) -> DataFrame:
     zero = {k: 0 for k in ("command_count", "stitch_count", "jump_count", "color_changes", "min_x", "max_x", "min_y", "max_y", "width", "height", "end_x", "end_y")}
-    return files.select("path").join(_measured(files), "path", "left").fillna(zero).fillna({"has_end": False})
+    return rows.join(_measured(files), "path", "left").fillna(zero).fillna({"has_end": False})
 
 
 def _measured(files: DataFrame) -> DataFrame:
@@ -78,7 +82,8 @@ def _measured(files: DataFrame) -> DataFrame:
 
 def mismatches(files: DataFrame) -> DataFrame:
     """(path, finding): declared values that differ from the recomputed ones."""
-    both = header_numbers(headers(files)).join(summary(files), "path").join(files.select("path", ((F.length("content") - HEADER) % 3).alias("rest")), "path")
+    rest = ((F.length("content") - HEADER) % 3).alias("rest")
+    both = _with_measures(header_numbers(headers(files, rest)), files)
     tests = {
         "ST": F.col("st") != F.col("command_count"),
         "CO": F.col("co") != F.col("color_changes"),
