@@ -13,13 +13,15 @@ bounds the similarity: ``PLACES`` of them travel with the shingles, so that few
 task that meets them, and those are held against parities of two places a shingle
 before their sets are sent.
 
-Sets are verified twice: first each against the least of those it meets and a few
-more, which puts dense groups into one component; then only pairs of different components.
+Sets are verified twice: first the candidates of simhash.near_dedup, by the SimHash of the
+same shingles, and each set against the least of those it meets and a few more, which puts
+dense groups into one component; then only pairs of different components, as sets of the
+similarity can differ in more bits than SimHash's grid serves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,16 +56,21 @@ def need(n: np.ndarray) -> np.ndarray:
 
 def sets_of(buf: np.ndarray, off: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each document in a chunk, sorted, and where each begins."""
-    h, owner = simhash.shingles_of(buf, off, shingle)
+    return distinct_of(*simhash.shingles_of(buf, off, shingle), len(off) - 1)
+
+
+def distinct_of(h: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of each of n documents' hashes, sorted, and where each document's begin."""
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    return h[new], np.searchsorted(owner[new], np.arange(len(off)))
+    return h[new], np.searchsorted(owner[new], np.arange(n + 1))
 
 
-def _with_sets(rows: DataFrame, shingle: int, own: list[str], schema: str, make) -> DataFrame:
-    """Columns ``own`` of rows (with a column text), and what ``make`` makes of the sets of a chunk."""
+def _with_sets(rows: DataFrame, shingle: int, own: list[str], schema: str, make, fingerprints: bool = False) -> DataFrame:
+    """Columns ``own`` of rows (with a column text), and what ``make`` makes of the sets of a
+    chunk, and of its SimHash fingerprints if these are wanted."""
     names = [*own, *(c.split()[0] for c in schema.split(", "))]
     kinds = dict(rows.dtypes)
 
@@ -71,16 +78,16 @@ def _with_sets(rows: DataFrame, shingle: int, own: list[str], schema: str, make)
         for batch in batches:
             buf, off = K.arrow_buffer(batch["text"])
             for a, b in K.chunks(off):
-                flat, at = sets_of(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle)
-                yield pa.RecordBatch.from_arrays([*(batch[c][a:b] for c in own), *make(flat, at)], names)
+                h, owner = simhash.shingles_of(buf[off[a] : off[b]], off[a : b + 1] - off[a], shingle)
+                near = simhash.majority(h, owner, b - a) if fingerprints else None
+                flat, at = distinct_of(h, owner, b - a)
+                del h, owner
+                made = make(flat, at, near) if fingerprints else make(flat, at)
+                yield pa.RecordBatch.from_arrays([*(batch[c][a:b] for c in own), *made], names)
 
     return rows.select("text", *own).mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in own), schema]))
 
 
-def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), simhash._text_hash(text).alias("h"), F.col(text).cast("string").alias("text"))
-
-
 def _digests(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     raw = flat.tobytes()
     h = [xxhash.xxh64_intdigest(raw[8 * x : 8 * y], simhash.SEED) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -309,14 +316,14 @@ def _alike(pairs: DataFrame, known: DataFrame, docs: DataFrame, shingle: int) ->
     return out
 
 
-def alike_links(docs: DataFrame, known: DataFrame, n_docs: int, shingle: int = SHINGLE) -> DataFrame:
+def alike_links(docs: DataFrame, known: DataFrame, candidates: DataFrame, n_docs: int, shingle: int = SHINGLE) -> DataFrame:
     """(u, v) links among digests of distinct sets that connect all of the similarity."""
     rows = _meeting(docs, _frequent(docs, n_docs, shingle, "text"), shingle, "text")
     parities = known.groupBy("fp").agg(F.first("parity").alias("parity"))
     rows = shared_table(shared_table(rows).join(parities, "fp"))
     meet = ["token", "fp", "n", "at", "parity", "group"]
     alone = rows.withColumn("group", F.col("fp"))
-    near = _alike(_by_token(alone, meet, PAIRS, some), known, docs, shingle)
+    near = _alike(candidates.unionByName(_by_token(alone, meet, PAIRS, some)), known, docs, shingle)
     named = components(near).select(F.col("node").alias("fp"), F.col("component").alias("group"))
     rest = rows.join(named, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
     more = _alike(_by_token(rest, meet, PAIRS, across, "n"), known, docs, shingle)
@@ -324,14 +331,21 @@ def alike_links(docs: DataFrame, known: DataFrame, n_docs: int, shingle: int = S
     return near.unionByName(more)
 
 
+def similarity_check(rows: DataFrame, shingle: int) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The check of simhash.near_dedup for a Jaccard similarity of 0.8 or more: rows with the
+    digest of their set and its SimHash, and the links that hold, of the candidates and beyond."""
+
+    def columns(flat, at, near):
+        return [pa.array(_digests(flat, at)), pa.array(near.view(np.int64)), pa.array(np.diff(at).astype(np.int32)), *_parity_columns(flat, at)]
+
+    known = shared_table(_with_sets(rows, shingle, ["doc_id", "h"], "fp long, simhash long, n int, parity array<long>, wide binary", columns, fingerprints=True))
+    return known, lambda candidates: alike_links(rows, known, candidates, known.count(), shingle)
+
+
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with all their columns, one document of each component over links of a
-    Jaccard similarity of 0.8 or more, chosen as simhash.near_dedup does.
+    Jaccard similarity of 0.8 or more, by simhash.near_dedup with an exact check.
 
     Words are compared in ASCII lower case; texts without words are copies of each other.
     """
-    rows = _rows(docs, doc_id, text)
-    known = _with_sets(rows, shingle, ["doc_id", "h"], "fp long, n int, parity array<long>, wide binary", lambda flat, at: [pa.array(_digests(flat, at)), pa.array(np.diff(at).astype(np.int32)), *_parity_columns(flat, at)])
-    known = shared_table(known)
-    links = alike_links(rows, known, known.count(), shingle)
-    return simhash.one_of_each(docs, simhash._named(known.select("doc_id", "h", "fp"), lambda _: links), doc_id, text)
+    return simhash.near_dedup(docs, shingle=shingle, doc_id=doc_id, text=text, check=similarity_check)

@@ -62,8 +62,12 @@ def shingles_of(buf: np.ndarray, off: np.ndarray, shingle: int, seed: int = SEED
 def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int = 3, seed: int = SEED) -> np.ndarray:
     """The SimHash of each document in a chunk: majority bits over the XXH64 of its
     word shingles, repeats included."""
-    out = np.zeros(len(off) - 1, K.U64)
-    h, owner = shingles_of(buf, off, shingle, seed)
+    return majority(*shingles_of(buf, off, shingle, seed), len(off) - 1)
+
+
+def majority(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The bits that over half of each of n documents' hashes have; zero without any."""
+    out = np.zeros(n, K.U64)
     if not len(h):
         return out
     counts = np.bincount(owner, minlength=len(out))
@@ -273,16 +277,39 @@ def _named(fps: DataFrame, links: Callable[[DataFrame], DataFrame]) -> DataFrame
     return fps.join(shared_table(named.drop("least").join(ids, "group")), "fp")
 
 
-def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, bits: int = BITS, shingle: int = 3, doc_id: str = "doc_id", text: str = "text", check: Callable | None = None) -> DataFrame:
     """docs with all their columns, one document of each component: that with the
     component's own doc_id.  Rows without an id stay.  Of several rows with that id
     in the component one stays: of different texts that of the least hash, of equal
     texts any.
 
+    With ``check`` near fingerprints are candidates: check(rows, shingle) of rows (doc_id, h,
+    text) gives a table of doc_id, h, fp and simhash, where rows of one fp are copies, and
+    a function from candidates (u, v) among these fp to the links that hold.
+
     Only ids and hashes are grouped; texts pass by a join against the rows to drop.
     """
-    fps = shared_table(fingerprints(docs, shingle, doc_id=doc_id, text=text, text_hash=True))
-    return one_of_each(docs, _named(fps, lambda distinct: near_links(distinct, bits)), doc_id, text)
+    if check is None:
+        fps = shared_table(fingerprints(docs, shingle, doc_id=doc_id, text=text, text_hash=True))
+        found = _named(fps, lambda distinct: near_links(distinct, bits))
+    else:
+        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _text_hash(text).alias("h"), F.col(text).cast("string").alias("text"))
+        fps, holding = check(rows, shingle)
+        found = _named(fps.select("doc_id", "h", "fp"), lambda _: holding(candidates(fps, bits)))
+    return one_of_each(docs, found, doc_id, text)
+
+
+def candidates(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """(u, v), u the greater, of rows (fp, simhash): links that connect all fp whose SimHash
+    fingerprints differ in ``bits`` bits or fewer, each to the least fp of its own fingerprint."""
+    fps = fps.select("fp", "simhash").distinct()
+    least = shared_table(fps.groupBy("simhash").agg(F.min("fp").alias("least")))
+    near = near_links(least.select(F.col("simhash").alias("fp"), F.col("simhash").alias("node")), bits)
+    for c in ("u", "v"):
+        near = near.join(least.select(F.col("simhash").alias(c), F.col("least").alias(f"least_{c}")), c)
+    near = near.select(F.greatest("least_u", "least_v").alias("u"), F.least("least_u", "least_v").alias("v"))
+    same = fps.join(least, "simhash").select(F.col("fp").alias("u"), F.col("least").alias("v"))
+    return near.unionByName(same).where("u != v").distinct()
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
