@@ -1,6 +1,11 @@
 """What a large corpus changes: blocks, dealing, hash matches; and results held to plain versions."""
 
+import random
+import re
+from pathlib import Path
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +227,33 @@ def test_simhash_of_rows_without_ids(spark):
     assert bin(fps[0] ^ fps[1]).count("1") <= 3 and bin(fps[2] ^ fps[3]).count("1") <= 3
     assert {(x.doc_id, x.component_id) for x in simhash.simhash_components(docs).collect()} == {(None, 7), (7, 7), (None, 8), (8, 8)}
     assert sorted(x.doc_id for x in simhash.near_dedup(docs).collect() if x.doc_id) == [7, 8]
+
+
+def test_few_links_are_joined_up_without_passes(spark, monkeypatch):
+    r = random.Random(9)
+    path, hub = [(i, i + 1) for i in range(-40, 30)], [(1000, i) for i in range(2000, 2100)]
+    loose = [(r.randrange(-(2**63), 2**63), r.randrange(5000, 5200)) for _ in range(150)]
+    links = [(a, b) if r.random() < 0.5 else (b, a) for a, b in [*path, *hub, *loose, (5, 5)]]
+    df = spark.createDataFrame(links, "u long, v long")
+    found = lambda: sorted((x.node, x.component) for x in components.components(df).collect())
+    monkeypatch.setattr(components, "FEW", 0, raising=False)
+    passes = found()
+    assert {(i, -40) for i in range(-39, 31)} | {(i, 1000) for i in range(2000, 2100)} <= set(passes)
+    monkeypatch.undo()
+    monkeypatch.setattr(components, "_star", None)
+    assert found() == passes and components.components(df.limit(0)).count() == 0
+
+
+def test_workers_give_memory_back():
+    def held():
+        return int(re.search(r"Anonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+    def run(batches):
+        for n in batches:
+            made = [pa.array(np.arange(20_000)).cast(pa.float64()) for _ in range(n)]
+            yield len(made)
+
+    run = kernels.tidy(run)
+    began = held()
+    assert list(run(iter([600, 700]))) == [600, 700]
+    assert held() - began < 40

@@ -85,7 +85,7 @@ def _with_sets(rows: DataFrame, shingle: int, own: list[str], schema: str, make,
                 made = make(flat, at, near) if fingerprints else make(flat, at)
                 yield pa.RecordBatch.from_arrays([*(batch[c][a:b] for c in own), *made], names)
 
-    return rows.select("text", *own).mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in own), schema]))
+    return rows.select("text", *own).mapInArrow(K.tidy(run), ", ".join([*(f"{c} {kinds[c]}" for c in own), schema]))
 
 
 def _digests(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -135,7 +135,7 @@ def _frequent(docs: DataFrame, n_docs: int, shingle: int, text: str) -> np.ndarr
                 for k in range(0, len(flat), PART):
                     yield pa.RecordBatch.from_arrays([pa.array(flat[k : k + PART].view(np.int64))], ["token"])
 
-    top = some.mapInArrow(shingles, "token long").groupBy("token").count().where(F.col("count") >= OFTEN)
+    top = some.mapInArrow(K.tidy(shingles), "token long").groupBy("token").count().where(F.col("count") >= OFTEN)
     found = top.orderBy(F.desc("count"), "token").limit(MOST).select("token").collect()
     return np.sort(np.array([r.token for r in found], np.int64).view(K.U64))
 
@@ -174,7 +174,7 @@ def _meeting(docs: DataFrame, frequent: np.ndarray, shingle: int, text: str) ->
                     yield pa.RecordBatch.from_arrays([pa.array(first[i].view(np.int64)), pa.array(fp[owner[i]]), pa.array(n[owner[i]].astype(np.int32)), pa.array(place[i].astype(np.int32))], ["token", "fp", "n", "at"])
 
     rows = docs.select(F.col(text).cast("string").alias("text"))
-    return _by_token(rows.mapInArrow(spread, ROWS), ["token", "fp", "n", "at"], ROWS, partnered)
+    return _by_token(rows.mapInArrow(K.tidy(spread), ROWS), ["token", "fp", "n", "at"], ROWS, partnered)
 
 
 def _by_token(rows: DataFrame, columns: list[str], schema: str, make, order: str = "fp") -> DataFrame:
@@ -202,7 +202,7 @@ def _by_token(rows: DataFrame, columns: list[str], schema: str, make, order: str
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names)
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select(*dict.fromkeys([*columns, order])).repartition(n, "token").sortWithinPartitions("token", order).mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*columns, order])).repartition(n, "token").sortWithinPartitions("token", order).mapInArrow(K.tidy(run), schema)
 
 
 def can_link(n, at, i, j) -> np.ndarray:
@@ -302,7 +302,7 @@ def _alike(pairs: DataFrame, known: DataFrame, docs: DataFrame, shingle: int) ->
 
     of = lambda c: one.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}"))
     near = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "wide_u", "wide_v", (F.col("n_u") + F.col("n_v")).alias("size"))
-    near = shared_table(near.mapInArrow(close, PAIRS))
+    near = shared_table(near.mapInArrow(K.tidy(close), PAIRS))
     chosen = shared_table(one.join(ends(near), "fp", "left_semi").select("fp", F.col("of.doc_id").alias("__id"), F.col("of.h").alias("__h")))
     some_ = F.broadcast(chosen) if chosen.count() <= FEW else chosen
     rows = docs.join(some_, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("h") == F.col("__h"))).select("fp", "text")

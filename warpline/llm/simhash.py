@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = SEED, doc_id: st
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64)), *(batch[c] for c in extra)], ["doc_id", "fp", *extra])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *(_text_hash(text).alias(c) for c in extra))
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *extra]))
+    return rows.mapInArrow(K.tidy(run), ", ".join(f"{c} long" for c in ["doc_id", "fp", *extra]))
 
 
 def _text_hash(text: str) -> Column:
@@ -238,9 +238,9 @@ def near_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     def _pairs(u, v):
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    cells = distinct.select("fp", "node").mapInArrow(spread, "cell long, fp long, node long, own boolean")
+    cells = distinct.select("fp", "node").mapInArrow(K.tidy(spread), "cell long, fp long, node long, own boolean")
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // IN_TASK)
-    return cells.repartition(parts, "cell").sortWithinPartitions("cell", "node").mapInArrow(match, "u long, v long")
+    return cells.repartition(parts, "cell").sortWithinPartitions("cell", "node").mapInArrow(K.tidy(match), "u long, v long")
 
 
 def dealt(cell: np.ndarray, fp: np.ndarray, block: int, bits: int) -> np.ndarray:

@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
                 t = np.add.reduceat(y[a:b][doc].astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(term[start].view(np.int64)), pa.array(root[start].view(np.int64)), pa.array(n), pa.array(t)], ["term", "root", "n", "t"])
 
-    stats = sample.mapInArrow(count_terms, "term long, root long, n long, t long").groupBy("term", "root").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    stats = sample.mapInArrow(K.tidy(count_terms), "term long, root long, n long, t long").groupBy("term", "root").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     stats = stats.where((F.col("t") >= settings.support) & (F.col("t") * everything >= F.col("n") * toxic * settings.lift))
     kept = [r for r in stats.collect() if _likelihood_ratio(r.t, r.n, toxic, everything) >= settings.evidence]
     terms = np.unique(np.array([r.term for r in kept], np.int64).view(np.uint64))
@@ -240,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["at", "df"])
 
     df = np.zeros(len(terms) + 1, np.int64)
-    for r in docs.select("text").mapInArrow(count_documents, "at long, df long").groupBy("at").agg(F.sum("df").alias("df")).collect():
+    for r in docs.select("text").mapInArrow(K.tidy(count_documents), "at long, df long").groupBy("at").agg(F.sum("df").alias("df")).collect():
         df[r["at"]] = r["df"]
     model.idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1
 
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), doc
                 rows = [(int(ids[a + d]), int(y[a + d]), t[edge[d] : edge[d + 1]].tolist(), n[edge[d] : edge[d + 1]].tolist()) for d in range(b - a)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True)], ["doc_id", "y", "t", "n"])
 
-    rows = sample.mapInArrow(example_vectors, "doc_id long, y int, t array<long>, n array<long>").collect()
+    rows = sample.mapInArrow(K.tidy(example_vectors), "doc_id long, y int, t array<long>, n array<long>").collect()
     none = [r.y for r in rows if not r.t]
     model.empty = (sum(none) + share) / (len(none) + 1)
     model.index([(np.array(r.t, np.int64), np.array(r.n, np.int64), r.y, r.doc_id) for r in rows if r.t])
@@ -291,7 +291,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
                     why.append(seen[key][1])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(scores, pa.float64()), pa.array(why, pa.string())], ["doc_id", "held_out", "score", "evidence"])
 
-    out = rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, evidence string")
+    out = rows.mapInArrow(K.tidy(run), f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, score double, evidence string")
     return out.withColumn("predicted", (F.col("score") >= settings.threshold).cast("int")).select("doc_id", "held_out", "score", "predicted", "evidence")
 
 
@@ -310,4 +310,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
                 keep += [model.score(t[x:y], n[x:y])[0] < settings.threshold for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(K.tidy(run), docs.schema)
