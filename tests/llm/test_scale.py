@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.llm.conftest import frame
 from tests.llm.test_operators import BY, pairs, toxic_rows
-from warpline.llm import blocks, components, decontaminate, kernels, mixing, near_copies, simhash, storage, toxicity, winnow
+from warpline.llm import blocks, components, decontaminate, kernels, mixing, near_copies, simhash, storage, suffix_dedup, toxicity, winnow
 
 
 def test_blocks_grow_with_the_root_of_the_corpus(spark):
@@ -257,3 +257,42 @@ def test_workers_give_memory_back():
     began = held()
     assert list(run(iter([600, 700]))) == [600, 700]
     assert held() - began < 40
+
+
+def suffix_rows(parts):
+    """Two long copies, passages that fall short of 400 bytes, and texts laid together from a few parts."""
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    long, passage, pool = text(30_000), text(320), [text(r.randint(90, 450)) for _ in range(12)]
+    rows = [(1, long, "a"), (2, long, "b")] + [(10 + i, text(300) + passage + text(300), "a") for i in range(40)]
+    return rows + [(100 + i, "".join(r.choice(pool) for _ in range(6)), "c") for i in range(parts)]
+
+
+@pytest.mark.parametrize("block_mb", [0.02, 8.0])
+def test_suffixes_that_stand_alone_leave_before_the_full_digit(spark, monkeypatch, block_mb):
+    rows, moved, answer = suffix_rows(0), [], blocks.answer
+
+    def weighed(asked, *rest):
+        moved.append(asked.agg(F.sum(F.octet_length("keys") + F.octet_length("load"))).first()[0])
+        return answer(asked, *rest)
+
+    monkeypatch.setattr(blocks, "answer", weighed)
+    got = [(*r[:4], bytes(r.kept)) for r in suffix_dedup.suffix_dedup(frame(spark, rows), block_mb=block_mb).collect()]
+    assert sorted(got) == sorted(brute.suffix_dedup(pairs(rows), 400))
+    # all windows of a long copy once, and those around the passage, would take 16 bytes each
+    assert sum(moved) < sum(len(t.encode()) for _, t, _ in rows)
+
+
+def test_anchors_spread_over_the_buckets():
+    buf = np.random.default_rng(1).integers(97, 123, 400_000).astype(np.uint8)
+    chunk = suffix_dedup._Chunk(buf, np.array([0, len(buf)]), 400)
+    keys = np.sort(chunk.keys[: len(chunk.anchors)])
+    sizes = np.diff(blocks.bucket_edges(keys, 20))
+    assert sizes.max() < 2 * sizes.mean()
+
+
+@pytest.mark.parametrize(("length", "block_mb"), [(400, 0.02), (400, 8.0), (100, 0.02), (17, 8.0)])
+def test_suffix_dedup_of_parts(spark, length, block_mb):
+    rows = [x for x in suffix_rows(60) if x[0] > 2]
+    got = [(*r[:4], bytes(r.kept)) for r in suffix_dedup.suffix_dedup(frame(spark, rows), length, block_mb=block_mb).collect()]
+    assert sorted(got) == sorted(brute.suffix_dedup(pairs(rows), length))
